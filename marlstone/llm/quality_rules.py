@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from marlstone.llm.store import stored
 from marlstone.llm.textmap import append_columns, mixed, span_hashes, text_bytes, word_spans
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_bang_words", "n_stop_words", "n_distinct")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_bang_words", "n_stop_words", "n_distinct", "n_odd_words")
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -36,6 +36,9 @@ _UPPER = np.zeros(256, bool)
 _UPPER[0x41:0x5B] = True
 _LETTER = _UPPER.copy()
 _LETTER[0x61:0x7B] = True
+_ALNUM = _LETTER.copy()
+_ALNUM[0x30:0x3A] = True
+_ALNUM[0x80:] = True
 
 
 def _sums(flags: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -92,6 +95,7 @@ def text_counts(texts: pa.Array) -> list[np.ndarray]:
 
     last_byte = data[ends - 1] if len(ends) else data[:0]
     _, seen = _repeated(owner, hashes)
+    odd = ~_ALNUM[data[starts]] | _SYMBOL[last_byte]
     return [
         n_words,
         word_chars,
@@ -104,6 +108,7 @@ def text_counts(texts: pa.Array) -> list[np.ndarray]:
         _sums(last_byte == 0x21, lo, hi),
         _sums((last_byte == 0x2E) | (last_byte == 0x3F), lo, hi),
         n_words - _sums(seen, lo, hi),
+        _sums(odd, lo, hi),
     ]
 
 
@@ -121,19 +126,20 @@ def default_rules() -> dict[str, Column]:
     def vote(value: Column, good: Column, bad: Column) -> Column:
         return F.when(value.isNull(), 0).when(bad, -1).when(good, 1).otherwise(0)
 
-    size, length = F.col("n_words"), _ratio("word_chars", "n_words")
-    symbols, lines, repeats = _ratio("n_symbols", "n_words"), _ratio("n_dup_lines", "n_lines"), _ratio("n_repeat_words", "n_words")
+    length, symbols, marks = _ratio("word_chars", "n_words"), _ratio("n_symbols", "n_words"), _ratio("n_symbols", "word_chars")
+    odd, lines, repeats = _ratio("n_odd_words", "n_words"), _ratio("n_dup_lines", "n_lines"), _ratio("n_repeat_words", "n_words")
     upper, bangs, stops, distinct = _ratio("n_upper", "n_letters"), _ratio("n_bang_words", "n_words"), _ratio("n_stop_words", "n_words"), _ratio("n_distinct", "n_words")
     return {
-        "size": vote(size, size >= 80, size < 50),
-        "word_length": vote(length, length.between(3.5, 9), (length < 2.5) | (length > 14)),
-        "symbols": vote(symbols, symbols < 0.05, symbols > 0.15),
-        "repeated_lines": vote(lines, lines < 0.1, lines > 0.3),
-        "repeated_words": vote(repeats, repeats < 0.1, repeats > 0.3),
-        "capitals": vote(upper, upper < 0.2, upper > 0.4),
-        "exclamations": vote(bangs, bangs < 0.05, bangs > 0.2),
-        "sentence_ends": vote(stops, stops.between(0.02, 0.3), stops < 0.005),
-        "distinct_words": vote(distinct, distinct > 0.35, distinct < 0.15),
+        "word_length": vote(length, length.between(4, 8), (length < 2.5) | (length > 14)),
+        "symbols": vote(symbols, symbols < 0.05, symbols > 0.1),
+        "symbol_share": vote(marks, marks < 0.01, marks > 0.02),
+        "odd_words": vote(odd, odd < 0.05, odd > 0.1),
+        "sentence_ends": vote(stops, stops.between(0.03, 0.3), stops < 0.02),
+        "capitals": vote(upper, upper < 0.2, upper > 0.35),
+        "exclamations": vote(bangs, bangs < 0.05, bangs > 0.1),
+        "repeated_lines": vote(lines, lines < 0.1, lines > 0.25),
+        "repeated_words": vote(repeats, repeats < 0.1, repeats > 0.25),
+        "distinct_words": vote(distinct, distinct > 0.35, distinct < 0.2),
     }
 
 
