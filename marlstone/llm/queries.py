@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import decontaminate, quality_ordinal, quality_rules, sharding, simhash, toxicity
+from marlstone.llm import decontaminate, pii, quality_ordinal, quality_rules, sharding, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymised(docs).select("doc_id", "text", F.array_join("pii_kinds", ",").alias("pii_kinds"), F.size("pii_kinds").cast("long").alias("n_replaced"))
+
+
 def op9_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.kd_shards(_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_kd_sharding": op9_kd_sharding,
     "op10_quality_classifier": op10_quality_classifier,
 }

@@ -116,7 +116,7 @@ def _informative(sample: list[tuple[str, int]], features: int, least_chi: float
     return np.sort(every[good[np.argsort(-chi[good], kind="stable")][:features]])
 
 
-def fit(sample: list[tuple[str, int]], features: int = 512, factors: int = 4, rounds: int = 150, decay: float = 1e-3) -> Machine:
+def fit(sample: list[tuple[str, int]], features: int = 512, factors: int = 4, rounds: int = 300, decay: float = 2e-4) -> Machine:
     """Logistic loss, Adam over the whole sample; the same sample gives the same machine."""
     y = np.array([v for _, v in sample], np.float32)
     share = (y.sum() + 0.5) / (len(y) + 1)
