@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import decontaminate, pii, quality_ordinal, quality_rules, sharding, simhash, toxicity
+from marlstone.llm import decontaminate, pii, quality_ordinal, quality_rules, sentencepieces, sharding, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,11 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepieces.encoded(docs).drop("text").withColumn("n_pieces", F.size("ids").cast("long"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.scored(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
@@ -57,6 +62,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_toxicity": op5_toxicity,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,

@@ -35,6 +35,7 @@ def append_columns(
     column: str,
     fields: Sequence[T.StructField],
     make: Callable[[], Callable[[pa.Array], list]],
+    piece_bytes: int = PIECE_BYTES,
 ) -> DataFrame:
     """``df`` with ``fields`` appended; columns of the same name are replaced.
 
@@ -50,7 +51,7 @@ def append_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            for part in pieces(batch, column):
+            for part in pieces(batch, column, piece_bytes):
                 texts = pc.fill_null(part.column(column), "")
                 made = fn(texts)
                 arrays = [part.column(n) for n in keep]
