@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import decontaminate, pii, quality_ordinal, quality_rules, sentencepieces, sharding, simhash, toxicity
+from marlstone.llm import decontaminate, pii, quality_ordinal, quality_rules, sentencepieces, sharding, simhash, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,11 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.without_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentencepieces.encoded(docs).drop("text").withColumn("n_pieces", F.size("ids").cast("long"))
@@ -62,6 +67,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_toxicity": op5_toxicity,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
@@ -89,4 +95,15 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)""",
+    "op3_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS win FROM d, unnest(range(1, len(w) - 18)) AS t(i) WHERE len(w) >= 20),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS k FROM s),
+x AS (SELECT DISTINCT doc_id, j FROM r, unnest(range(i, i + 20)) AS t(j) WHERE k > 1),
+y AS (SELECT doc_id, list(j) AS gone FROM x GROUP BY doc_id),
+f AS (SELECT d.doc_id, w, coalesce(gone, []) AS gone FROM d LEFT JOIN y USING (doc_id)),
+n AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS kept FROM (
+        SELECT d.doc_id, j, w[j] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(j)) q ANTI JOIN x USING (doc_id, j) GROUP BY doc_id)
+SELECT f.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM f LEFT JOIN n USING (doc_id)""",
 }

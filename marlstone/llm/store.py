@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _FALLBACK: dict[str, str] = {}
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,8 +36,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Compute ``df`` once as a compressed table in the shared folder and read it from there."""
+    """Compute ``df`` once as a compressed table in the shared folder and read it from there.
+
+    The shuffle files of the computation go as soon as it has ended. ``discard`` removes the table.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/marlstone-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove what ``stored`` wrote; only when nothing that is still to run reads it."""
+    jvm = df.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
