@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,7 +83,6 @@ class Words:
 _ANCHORS = T.StructType([T.StructField("h", T.LongType()), T.StructField("doc", T.LongType()), T.StructField("at", T.IntegerType())])
 _RUNS = T.StructType(
     [
-        T.StructField("doc", T.LongType()),
         T.StructField("doc_id", T.LongType()),
         T.StructField("text_hash", T.LongType()),
         T.StructField("start", T.IntegerType()),
@@ -91,6 +90,7 @@ _RUNS = T.StructType(
         T.StructField("run_b", T.LongType()),
         T.StructField("windows", T.ArrayType(T.LongType())),
         T.StructField("checks", T.ArrayType(T.IntegerType())),
+        T.StructField("later", T.ArrayType(T.BooleanType())),
     ]
 )
 
@@ -133,28 +133,50 @@ def _run_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
                 end = begin + count - 1 + window
                 other = mixed(w.hashes ^ _SECOND)
                 own = w.owner[begin]
+                hashes, checks = rolling(w.hashes, window)[starts], rolling(other, window)[starts] >> np.uint64(33)
+                later = _later_here(hashes, checks, part, w, starts)
                 offs = pa.array(np.append(head, len(starts)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc").take(pa.array(own)),
                         part.column("doc_id").take(pa.array(own)),
                         part.column("text_hash").take(pa.array(own)),
                         pa.array((begin - w.first[own]).astype(np.int32)),
                         pa.array(span_hashes(w.hashes, begin, end).view(np.int64)),
                         pa.array(span_hashes(other, begin, end).view(np.int64)),
-                        pa.ListArray.from_arrays(offs, pa.array(rolling(w.hashes, window)[starts].view(np.int64))),
-                        pa.ListArray.from_arrays(offs, pa.array((rolling(other, window)[starts] >> np.uint64(33)).astype(np.int32))),
+                        pa.ListArray.from_arrays(offs, pa.array(hashes.view(np.int64))),
+                        pa.ListArray.from_arrays(offs, pa.array(checks.astype(np.int32))),
+                        pa.ListArray.from_arrays(offs, pa.array(later)),
                     ],
                     names=_RUNS.names,
                 )
 
-    return docs.select("doc", "doc_id", "text_hash", "text", "repeated").mapInArrow(run, _RUNS)
+    return docs.select("doc_id", "text_hash", "text", "repeated").mapInArrow(run, _RUNS)
+
+
+def _later_here(hashes: np.ndarray, checks: np.ndarray, part: pa.RecordBatch, w: Words, starts: np.ndarray) -> np.ndarray:
+    """Which windows have an equal one that starts earlier in this very batch."""
+    ids = part.column("doc_id")
+    text_hash = part.column("text_hash").to_numpy()
+    known = ids.is_valid().to_numpy(zero_copy_only=False)
+    number = ids.fill_null(0).to_numpy(zero_copy_only=False)
+    order = np.lexsort((text_hash, number, known))
+    new = np.concatenate([[True], (np.diff(known[order].astype(int)) != 0) | (np.diff(number[order]) != 0) | (np.diff(text_hash[order]) != 0)])
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(new)
+    mine, place = rank[w.owner[starts]], starts - w.first[w.owner[starts]]
+    order = np.lexsort((place, mine, checks, hashes))
+    h, c, r, p = hashes[order], checks[order], mine[order], place[order]
+    same = np.concatenate([[False], (h[1:] == h[:-1]) & (c[1:] == c[:-1])])
+    lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(h))))
+    later = np.empty(len(h), bool)
+    later[order] = same & ((r != r[lead]) | (p != p[lead]))
+    return later
 
 
 def removal_intervals(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """(doc, spans): word ranges to remove from each document that has any.
 
-    ``docs`` has doc (a hash of doc_id and text), doc_id (a long), text_hash and text.
+    ``docs`` has doc (a hash of doc_id and text_hash), doc_id (a long), text_hash and text.
     """
     anchors = stored(_anchor_rows(docs, window, anchor), "anchors")
     common = anchors.groupBy("h").count().where(F.col("count") > 1).select("h")
@@ -167,24 +189,28 @@ def removal_intervals(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
 
     order = F.struct("doc_id", "text_hash", "start")
     first_runs = runs.groupBy("run_a", "run_b").agg(F.min(order).alias("first"))
-    judged = runs.join(first_runs.hint("merge"), ["run_a", "run_b"]).withColumn("is_first", order == F.col("first"))
-    whole = judged.where(~F.col("is_first")).select("doc", F.col("start").alias("a"), (F.col("start") + F.size("windows") - 1 + window).alias("b"))
-    opened = judged.where("is_first").select("doc", "doc_id", "text_hash", "start", F.posexplode(F.arrays_zip("windows", "checks")).alias("k", "w"))
-    opened = opened.select("doc", "doc_id", "text_hash", (F.col("start") + F.col("k")).alias("start"), F.col("w.windows").alias("w"), F.col("w.checks").alias("c"))
-    opened = stored(opened, "windows")
-    first_windows = opened.groupBy("w", "c").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = opened.join(first_windows.hint("merge"), ["w", "c"]).where(order != F.col("first")).select("doc", F.col("start").alias("a"), (F.col("start") + window).alias("b"))
-    spans = whole.unionByName(later).groupBy("doc").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
-    out = stored(spans, "removals")
+    judged = runs.join(first_runs.hint("merge"), ["run_a", "run_b"])
+    # The first of equal runs is opened into its windows; any other goes as a whole.
+    is_first = order == F.col("first")
+    opened = F.when(is_first, F.arrays_zip("windows", "checks", "later"))
+    length = F.when(is_first, F.lit(window)).otherwise(F.size("windows") - 1 + window)
+    rows = judged.select("doc_id", "text_hash", "start", length.alias("length"), F.posexplode_outer(opened).alias("k", "w"))
+    rows = rows.select("doc_id", "text_hash", (F.col("start") + F.coalesce("k", F.lit(0))).alias("start"), "length", (F.col("w").isNull() | F.col("w.later")).alias("known"), "w")
+    # What is known to be a repeat needs no company: it gets a key of its own.
+    key = F.when(F.col("known"), F.xxhash64("doc_id", "text_hash", "start")).otherwise(F.col("w.windows"))
+    rows = rows.select("doc_id", "text_hash", "start", "length", "known", key.alias("w"), F.when(F.col("known"), -1).otherwise(F.col("w.checks")).alias("c"))
+    place = F.rank().over(Window.partitionBy("w", "c").orderBy("doc_id", "text_hash", "start"))
+    later = rows.withColumn("place", place).where("known or place > 1")
+    later = later.select(F.xxhash64("doc_id", "text_hash").alias("doc"), F.col("start").alias("a"), (F.col("start") + F.col("length")).alias("b"))
+    out = stored(later.groupBy("doc").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "removals")
     discard(runs)
-    discard(opened)
     return out
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """doc, doc_id (as a long), text_hash and text of each row; null texts are empty."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.xxhash64("doc_id", text).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return docs.select(F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
