@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import decontaminate, pii, quality_ordinal, quality_rules, sentencepieces, sharding, simhash, substrings, toxicity
+from marlstone.llm import decontaminate, lm_scoring, pii, quality_ordinal, quality_rules, sentencepieces, sharding, simhash, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scored(_table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.without_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -67,6 +71,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_toxicity": op5_toxicity,

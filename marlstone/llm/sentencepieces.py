@@ -329,7 +329,7 @@ def encoded(docs: DataFrame, model: str = MODEL, n: int = NBEST) -> DataFrame:
 
         return run
 
-    return append_columns(docs, "text", FIELDS, make, piece_bytes=8 << 20)
+    return append_columns(docs, "text", FIELDS, make, piece_bytes=2 << 20)
 
 
 def decoded(pieces: DataFrame, model: str = MODEL) -> DataFrame:
