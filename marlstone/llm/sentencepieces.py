@@ -22,6 +22,7 @@ repeated documents come out alike; an added column replaces one of the same name
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 from dataclasses import dataclass
 
@@ -249,56 +250,83 @@ def combined(lists: list[list[tuple[float, tuple[int, ...]]]], n: int) -> list[t
     return out
 
 
-def encode_batch(texts: list[str], v: Vocabulary, n: int) -> list[tuple[np.ndarray, float, list[dict]]]:
-    """(ids, score, alternatives) of each text; an alternative lists what it changes in ``ids``."""
-    index: dict[str, int] = {}
-    number = index.setdefault
-    sequences = [np.array([number(c, len(index)) for c in chunks_of(t)], np.int64) for t in texts]
-    raw = [c.encode() for c in index]
-    short = [k for k, c in enumerate(raw) if len(c) <= LONG_CHUNK]
-    score, loss = np.zeros(len(raw)), np.full(len(raw), np.inf)
-    s, l, flat, ends = best_of_chunks([raw[k] for k in short], v)
-    score[short], loss[short] = s, l
-    first, count = np.zeros(len(raw), np.int64), np.zeros(len(raw), np.int64)
-    count[short] = np.diff(np.concatenate([[0], ends]))
-    first[short] = ends - count[short]
-    lists: dict[int, list[tuple[float, tuple[int, ...]]]] = {}
-    extra = [flat]
-    at = len(flat)
-    for k, c in enumerate(raw):
-        if len(c) > LONG_CHUNK:
-            lists[k] = nbest(c, v, n)
-            extra.append(np.array(lists[k][0][1], np.int32))
-            score[k], first[k], count[k] = lists[k][0][0], at, len(extra[-1])
-            loss[k] = lists[k][0][0] - lists[k][1][0] if len(lists[k]) > 1 else np.inf
-            at += len(extra[-1])
-    flat = np.concatenate(extra)
-    out = []
-    for seq in sequences:
-        counts = count[seq]
-        before = np.cumsum(counts) - counts
-        total = int(counts.sum())
-        ids = flat[np.repeat(first[seq] - before, counts) + np.arange(total)] if total else flat[:0]
-        alternatives = []
-        if len(seq) and n > 1:
-            losses = loss[seq]
-            few = np.argpartition(losses, n - 2)[: n - 1] if len(seq) > n - 1 else np.arange(len(seq))
-            worst = losses[few].max()
-            few = np.flatnonzero(losses <= worst)
-            few = np.sort(few[np.lexsort((few, losses[few]))][: n - 1])
-            few = few[np.isfinite(losses[few])]
-            own = []
-            for p in few:
-                k = int(seq[p])
-                if k not in lists:
-                    lists[k] = nbest(raw[k], v, n)
-                own.append(lists[k])
-            base = float(score[seq].sum())
-            for lost, choice in combined(own, n)[1:]:
-                edits = [{"at": int(before[p]), "drop": int(counts[p]), "ids": list(own[j][c][1])} for j, (p, c) in enumerate(zip(few, choice)) if c]
-                alternatives.append({"score": base - lost, "edits": edits})
-        out.append((ids, float(score[seq].sum()), alternatives))
-    return out
+class Encoder:
+    """Encodes batches of texts; the chunks it has met are kept, up to ``most`` of them."""
+
+    def __init__(self, v: Vocabulary, n: int = NBEST, most: int = 300_000) -> None:
+        self.v, self.n, self.most = v, n, most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.names: list[str] = []
+        self.score, self.loss = np.zeros(0), np.zeros(0)
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.int32)
+        self.lists: dict[int, list[tuple[float, tuple[int, ...]]]] = {}
+
+    def _learn(self, raw: list[bytes]) -> None:
+        """Best segmentations of new chunks."""
+        v, known, at = self.v, len(self.names), len(self.flat)
+        short = [k for k, c in enumerate(raw) if len(c) <= LONG_CHUNK]
+        score, loss = np.zeros(len(raw)), np.full(len(raw), np.inf)
+        first, count = np.zeros(len(raw), np.int64), np.zeros(len(raw), np.int64)
+        score[short], loss[short], flat, ends = best_of_chunks([raw[k] for k in short], v)
+        count[short] = np.diff(np.concatenate([[0], ends]))
+        first[short] = at + ends - count[short]
+        extra = [flat]
+        at += len(flat)
+        for k, c in enumerate(raw):
+            if len(c) > LONG_CHUNK:
+                own = self.lists[known + k] = nbest(c, v, max(2, self.n))
+                extra.append(np.array(own[0][1], np.int32))
+                score[k], first[k], count[k] = own[0][0], at, len(extra[-1])
+                loss[k] = own[0][0] - own[1][0] if len(own) > 1 else np.inf
+                at += len(extra[-1])
+        self.flat = np.concatenate([self.flat, *extra])
+        self.score, self.loss = np.append(self.score, score), np.append(self.loss, loss)
+        self.first, self.count = np.append(self.first, first), np.append(self.count, count)
+
+    def __call__(self, texts: list[str]) -> list[tuple[np.ndarray, float, list[dict]]]:
+        """(ids, score, alternatives) of each text; an alternative lists what it changes in ``ids``."""
+        if len(self.index) > self.most:
+            self._forget()
+        index, n, v = self.index, self.n, self.v
+        number = index.setdefault
+        sequences = [np.array([number(c, len(index)) for c in chunks_of(t)], np.int64) for t in texts]
+        if len(index) > len(self.names):
+            new = list(itertools.islice(index, len(self.names), None))
+            self._learn([c.encode() for c in new])
+            self.names += new
+        out = []
+        for seq in sequences:
+            counts = self.count[seq]
+            before = np.cumsum(counts) - counts
+            total = int(counts.sum())
+            ids = self.flat[np.repeat(self.first[seq] - before, counts) + np.arange(total)] if total else self.flat[:0]
+            alternatives = []
+            base = float(self.score[seq].sum())
+            if len(seq) and n > 1:
+                losses = self.loss[seq]
+                few = np.argpartition(losses, n - 2)[: n - 1] if len(seq) > n - 1 else np.arange(len(seq))
+                few = np.flatnonzero(losses <= losses[few].max())
+                few = np.sort(few[np.lexsort((few, losses[few]))][: n - 1])
+                few = few[np.isfinite(losses[few])]
+                own = []
+                for p in few:
+                    k = int(seq[p])
+                    if k not in self.lists:
+                        self.lists[k] = nbest(self.names[k].encode(), v, n)
+                    own.append(self.lists[k])
+                for lost, choice in combined(own, n)[1:]:
+                    edits = [{"at": int(before[p]), "drop": int(counts[p]), "ids": list(own[j][c][1])} for j, (p, c) in enumerate(zip(few, choice)) if c]
+                    alternatives.append({"score": base - lost, "edits": edits})
+            out.append((ids, base, alternatives))
+        return out
+
+
+def encode_batch(texts: list[str], v: Vocabulary, n: int = NBEST) -> list[tuple[np.ndarray, float, list[dict]]]:
+    return Encoder(v, n)(texts)
 
 
 def decode(ids, v: Vocabulary) -> str:
@@ -318,10 +346,11 @@ def encoded(docs: DataFrame, model: str = MODEL, n: int = NBEST) -> DataFrame:
 
     def make():
         v = shared.value
+        encoder = Encoder(v, n)
 
         def run(texts: pa.Array) -> list:
             own = texts.to_pylist()
-            made = encode_batch(own, v, n)
+            made = encoder(own)
             offsets = np.concatenate([[0], np.cumsum([len(m[0]) for m in made])]).astype(np.int32)
             values = np.concatenate([m[0] for m in made]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
@@ -329,7 +358,7 @@ def encoded(docs: DataFrame, model: str = MODEL, n: int = NBEST) -> DataFrame:
 
         return run
 
-    return append_columns(docs, "text", FIELDS, make, piece_bytes=2 << 20)
+    return append_columns(docs, "text", FIELDS, make, piece_bytes=3 << 20)
 
 
 def decoded(pieces: DataFrame, model: str = MODEL) -> DataFrame:
