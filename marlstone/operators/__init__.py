@@ -1 +1 @@
-"""Marlstone operators."""
+"""Operators from DataFrames to DataFrames, for use with ``transform``."""
