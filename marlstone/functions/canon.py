@@ -7,11 +7,12 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNIT = 31  # the separator of hashed parts
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def stable_json(text: pd.Series) -> pd.Series:
     """JSON text with sorted keys, no spaces, nulls and non-ASCII kept; null if it isn't JSON."""
 
@@ -24,7 +25,7 @@ def stable_json(text: pd.Series) -> pd.Series:
     return text.map(one)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def parses_as_json(text: pd.Series) -> pd.Series:
     def one(value: str | None) -> bool:
         try:
@@ -36,7 +37,7 @@ def parses_as_json(text: pd.Series) -> pd.Series:
     return text.map(one)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def is_json_object(text: pd.Series) -> pd.Series:
     def one(value: str | None) -> bool:
         try:

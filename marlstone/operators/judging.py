@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Dimensions, decisions and sufficiency grades of a judgment.
 DIMENSIONS = ("reference_correctness", "evidence_faithfulness", "completeness", "relevance", "instruction_following", "format_validity")
@@ -93,7 +94,7 @@ def judged(requests: DataFrame, judge: Callable[[str], str]) -> DataFrame:
     return requests.select("request_id", "messages").mapInPandas(run, "request_id string, response string")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def judge_messages(body: pd.Series) -> pd.Series:
     """A system and a user message around a request body (JSON text), keys sorted."""
     system = "Compare the two answers and reply with one JSON object."
