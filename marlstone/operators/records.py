@@ -180,8 +180,10 @@ def masked_labels(ids: Column, mask: Column) -> Column:
 
 def prefix_labels(prefix_lengths: Column, roles: Column, ids: Column) -> Column:
     """Labels when turn k added the tokens from prefix k-1 to prefix k: assistant turns only."""
-    spans = F.zip_with(prefix_lengths, roles, lambda n, r: F.struct(n.alias("n"), r.alias("r")))
-    return F.transform(
-        ids,
-        lambda t, i: F.when(F.element_at(F.filter(spans, lambda s: s["n"] > i), 1)["r"] == "assistant", t).otherwise(-100),
+    start = lambda k: F.when(k > 0, F.get(prefix_lengths, k - 1)).otherwise(0)
+    return F.flatten(
+        F.transform(
+            roles,
+            lambda r, k: F.when(r == "assistant", F.slice(ids, start(k) + 1, F.get(prefix_lengths, k) - start(k))).otherwise(F.array_repeat(F.lit(-100), F.get(prefix_lengths, k) - start(k))),
+        )
     )

@@ -1,4 +1,6 @@
 """The query catalogue: each query as a function and, where SQL can say it, as SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from marlstone.plans import capacity, catalog
+
+QUERIES = {**catalog.QUERIES, **capacity.QUERIES}
+ORACLE_SQL = {**catalog.ORACLE_SQL, **capacity.ORACLE_SQL}

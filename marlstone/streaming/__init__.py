@@ -1 +1 @@
-"""Marlstone streaming."""
+"""Structured Streaming: live aggregates, stateful detectors, incremental reports."""
