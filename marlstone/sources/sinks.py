@@ -79,12 +79,12 @@ def put_jsonl(df: DataFrame, path: str, order: Sequence[str], json_column: str =
     """Write-once JSONL in ``order``: parts are ranges, so read by name they are the ordered file."""
     spark = df.sparkSession
     digest = jsonl_digest(df, order, json_column)
-    if exists(spark, f"{path}/_digest"):
-        if read_text(spark, f"{path}/_digest") != digest:
+    if exists(spark, f"{path}.digest"):
+        if read_text(spark, f"{path}.digest") != digest:
             raise WriteConflict(path)
         return digest
     df.orderBy(*order).select(F.col(json_column).alias("value")).write.mode("overwrite").text(path)
-    write_text(spark, f"{path}/_digest", digest)
+    write_text(spark, f"{path}.digest", digest)
     return digest
 
 
