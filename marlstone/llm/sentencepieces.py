@@ -134,8 +134,23 @@ def nbest(chunk: bytes, v: Vocabulary, n: int) -> list[tuple[float, tuple[int, .
     return out
 
 
+#: So many chunks go through the forward pass at once.
+_AT_ONCE = 25_000
+
+
 def best_of_chunks(chunks: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(score, loss of the second segmentation, ids, end of each chunk's ids) of the best segmentations."""
+    parts = [_best_of(chunks[k : k + _AT_ONCE], v) for k in range(0, max(1, len(chunks)), _AT_ONCE)]
+    before = np.cumsum([0, *[len(p[2]) for p in parts]])
+    return (
+        np.concatenate([p[0] for p in parts]),
+        np.concatenate([p[1] for p in parts]),
+        np.concatenate([p[2] for p in parts]),
+        np.concatenate([p[3] + b for p, b in zip(parts, before)]),
+    )
+
+
+def _best_of(chunks: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     data = np.frombuffer(b"".join(chunks), np.uint8)
     size = np.array([len(c) for c in chunks], np.int64)
     end = np.cumsum(size)
