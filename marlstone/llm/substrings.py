@@ -179,10 +179,12 @@ def removal_intervals(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
     ``docs`` has doc (a hash of doc_id and text_hash), doc_id (a long), text_hash and text.
     """
     anchors = stored(_anchor_rows(docs, window, anchor), "anchors")
-    common = anchors.groupBy("h").count().where(F.col("count") > 1).select("h")
+    # Stored first: joined as it is counted, its large keys couldn't be split.
+    common = stored(anchors.groupBy("h").count().where(F.col("count") > 1).select("h"), "common-anchors")
     places = anchors.join(common.hint("merge"), "h", "left_semi").groupBy("doc").agg(F.collect_set("at").alias("repeated"))
     places = stored(places, "repeated-anchors")
     discard(anchors)
+    discard(common)
     joined = docs.join(places.hint("shuffle_hash"), "doc")
     runs = stored(_run_rows(joined, window, anchor), "runs")
     discard(places)
