@@ -158,6 +158,7 @@ def kd_shards(docs: DataFrame, shards: int = 40, dimensions: tuple[str, ...] = (
         F.coalesce(F.min("doc_id").cast("long"), F.lit(-1)).alias("d1"),
         *[F.min(f"m{k}").alias(f"d{k + 2}") for k in range(len(names))],
     ).withColumn("parts", parts)
+    groups = stored(groups, "shard-groups")  # joined as it is summed, a large group couldn't be split
     dims = 2 + len(names)
     rows = rows.drop(*[f"m{k}" for k in range(len(names))]).join(groups, ["text_hash", "text_crc32"])
     part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("rid"), F.col("parts"))).otherwise(F.lit(0))
