@@ -88,7 +88,7 @@ def test_attention_probabilities():
     m.train(seqs, 0, steps=120, batch=64)
     assert np.allclose(m.emitted.sum(axis=0), 1, atol=1e-4)
     i, t, _ = windows(seqs[:20], 0)
-    logs, start = m.each_log10(i, t, np.ones(9, bool))
+    logs, start = m.each_log10(i, t, m.mass(np.ones(9, bool)))
     assert np.allclose(start, 0, atol=1e-4) and logs.mean() > -0.35
     late = i.copy()
     late[:, -1] = 3  # what comes later doesn't change what came before
