@@ -88,7 +88,7 @@ def test_simhash(spark, docs, no_docs):
     rows = [(r[0], r[1]) for r in documents()]
 
     def fp(t):
-        w = lowered(t).split() if False else SPLIT.findall(lowered(t))
+        w = SPLIT.findall(lowered(t))
         sh = [" ".join(w[k : k + 3]) for k in range(max(1, len(w) - 2))] if w else []
         hs = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
         return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
