@@ -43,15 +43,18 @@ records AS (SELECT *, (split = 'train' AND (research_role IS NULL OR research_ro
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two candidates' predictions on documents, the baseline's on labelled ones, with repeats."""
+    """Two candidates' predictions on documents, the baseline's on labelled ones, with repeats.
+
+    Answers and expected texts are whole texts; a third of a candidate's has one word more.
+    """
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     labelled = table(spark, sf_dir, "labels").select("doc_id")
-    expected = F.substring("text", 1, 200)
+    expected = F.col("text")
     key = F.col("doc_id").cast("string").alias("record_id")
     ids = F.explode(F.array(F.lit(0), F.lit(1)))
-    base = d.join(labelled, "doc_id").select(ids.alias("c"), key, F.lit("baseline").alias("side"), F.substring("text", 1, 200).alias("answer"), expected.alias("expected"), "doc_id")
+    base = d.join(labelled, "doc_id").select(ids.alias("c"), key, F.lit("baseline").alias("side"), F.col("text").alias("answer"), expected.alias("expected"), "doc_id")
     cand = d.select("doc_id", "text", key, ids.alias("c"))
-    answer = F.when(F.col("doc_id") % 3 == F.col("c"), F.col("text")).otherwise(F.concat(F.lit(" "), F.replace(expected, F.lit(" "), F.lit("  "))))
+    answer = F.when(F.col("doc_id") % 3 == F.col("c"), F.concat(F.col("text"), F.lit(" indeed"))).otherwise(F.concat(F.lit(" "), F.replace(expected, F.lit(" "), F.lit("  "))))
     cand = cand.select("c", "record_id", F.lit("candidate").alias("side"), answer.alias("answer"), expected.alias("expected"), "doc_id")
     both = base.unionByName(cand)
     repeats = F.explode(F.when(F.col("doc_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))

@@ -4,6 +4,7 @@ import re
 
 from marlstone.operators import containment
 from marlstone.plans import QUERIES
+from marlstone.plans import views as V
 
 
 def tables(spark, tmp_path, **frames):
@@ -25,3 +26,16 @@ def test_answer_containment(spark, tmp_path):
     assert sorted(map(tuple, QUERIES["answer_containment"](spark, sf).collect())) == want
     d, b = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
     assert sorted(map(tuple, containment.contained(d, b, block_bytes=20).collect())) == want
+
+
+def test_predictions_are_whole_texts(spark, tmp_path):
+    texts = {k: f"Text {k} " + "word " * 100 + f"end{k}" for k in range(6)}
+    sf = tables(spark, tmp_path, documents=(list(texts.items()), "doc_id long, text string"), labels=([(k,) for k in range(4)], "doc_id long"))
+    scores = {(r.candidate_id, int(r.record_id)): r for r in QUERIES["det_scores"](spark, sf).collect()}
+    assert len(scores) == 12
+    for (c, k), r in scores.items():
+        longer = k % 3 == int(c[-1])
+        assert (r.cand_exact, r.cand_contains) == (not longer, True) and r.base_exact == (k < 4)
+        assert r.cand_chars == len(texts[k]) + (len(" indeed") if longer else 1 + texts[k].count(" "))
+    p = V.predictions(spark, sf)
+    assert all(r.expected == texts[int(r.record_id)] and (r.side == "candidate" or r.answer == r.expected) for r in p.collect())
