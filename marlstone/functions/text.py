@@ -32,8 +32,8 @@ def contains_expected(answer: Column, expected: Column) -> Column:
 
 
 def token_estimate(text: Column) -> Column:
-    """Runs of word characters, and each other visible character."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"(?U)\w+|[^\w\s]")).cast("long")
+    """Runs of word characters, and each other visible character, by the classes of Python's re."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"(?U)[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\x1C-\x1F]")).cast("long")
 
 
 def characters(text: Column) -> Column:

@@ -39,3 +39,10 @@ def test_predictions_are_whole_texts(spark, tmp_path):
         assert r.cand_chars == len(texts[k]) + (len(" indeed") if longer else 1 + texts[k].count(" "))
     p = V.predictions(spark, sf)
     assert all(r.expected == texts[int(r.record_id)] and (r.side == "candidate" or r.answer == r.expected) for r in p.collect())
+
+
+def test_token_estimates(spark, tmp_path):
+    texts = ["plain text, here", "Grüße aus Köln – schön!", "数据 处理。", "naïve café x² ½ Ⅷ", "tab\x1cnext line end\x85.", "a‍b", "😀 ok", ""]
+    sf = tables(spark, tmp_path, documents=(list(enumerate(texts)), "doc_id long, text string"))
+    got = {r.doc_id: (r.n_tokens, r.n_characters, r.budget) for r in QUERIES["token_estimates"](spark, sf).collect()}
+    assert got == {k: (len(re.findall(r"\w+|[^\w\s]", t)), len(t), max(1, len(t) // 3) + 512) for k, t in enumerate(texts)}
