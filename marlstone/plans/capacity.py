@@ -60,7 +60,7 @@ def energy_skip_zero(spark, sf_dir):
 
 @query(f"""WITH {V.SAMPLES_SQL} SELECT device, event_id, round(coalesce(greatest(0.0, value - lag(value) OVER w) / greatest(t - lag(t) OVER w, 1e-9), 0), 4) AS rate FROM samples WHERE event_id % 2 = 0 WINDOW w AS (PARTITION BY device ORDER BY t, event_id)""")
 def growth_rates(spark, sf_dir):
-    return tele.rates(V.samples(spark, sf_dir).where("event_id % 2 = 0"), "value", "event_id").select("device", "event_id", F.round("rate", 4).alias("rate"))
+    return tele.rates(V.samples(spark, sf_dir), "value", "event_id").select("device", "event_id", F.round("rate", 4).alias("rate"))
 
 
 @query(f"""WITH {V.SAMPLES_SQL}, m AS (SELECT *, value >= 20 AS over, sum(CASE WHEN value >= 20 THEN 0 ELSE 1 END) OVER (PARTITION BY device ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS island FROM samples),

@@ -46,3 +46,14 @@ def test_token_estimates(spark, tmp_path):
     sf = tables(spark, tmp_path, documents=(list(enumerate(texts)), "doc_id long, text string"))
     got = {r.doc_id: (r.n_tokens, r.n_characters, r.budget) for r in QUERIES["token_estimates"](spark, sf).collect()}
     assert got == {k: (len(re.findall(r"\w+|[^\w\s]", t)), len(t), max(1, len(t) // 3) + 512) for k, t in enumerate(texts)}
+
+
+def test_growth_rates(spark, tmp_path):
+    rows = [(e, e % 2, f"2024-01-01 00:00:{e:02d}", "click", float(v)) for e, v in enumerate([5, 1, 9, 4, 30, 2, 31, 8])]
+    frame = spark.createDataFrame(rows, "event_id long, user_id long, ts string, event_type string, value double")
+    frame.selectExpr("event_id", "user_id", "cast(ts as timestamp) as ts", "event_type", "value").write.parquet(f"{tmp_path}/events.parquet")
+    want, last = {}, {}
+    for e, d, _, _, v in rows:
+        want[e] = round(max(0.0, v - last[d][1]) / (e - last[d][0]), 4) if d in last else 0.0
+        last[d] = (e, v)
+    assert {r.event_id: r.rate for r in QUERIES["growth_rates"](spark, str(tmp_path)).collect()} == want
