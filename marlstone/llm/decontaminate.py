@@ -62,7 +62,7 @@ class WordTables:
                 i += step
                 continue
             start = i - m
-            for pattern, items in self.buckets[tuple(words[i - b : i])].get(tuple(words[start : start + 2]), ()):
+            for pattern, items in self.buckets[tuple(words[i - b : i])].get(tuple(words[start : start + min(2, m)]), ()):
                 if words[start:i] == list(pattern):
                     spans.append((start, i))
                     found |= items

@@ -2,12 +2,20 @@
 
 import numpy as np
 from fixtures import prose
-from marlstone.llm import lm_scoring
+from marlstone.llm import decontaminate, lm_scoring
 from marlstone.llm.attention import AttentionModel, windows
 from marlstone.llm.labelled import fold
 from test_exact import contamination
 
 
+def test_one_word_items(spark):
+    rows = [(1, "zebra here"), (2, "a zebra here"), (3, "here a zebra"), (4, "zebra"), (5, "two words zebra two words"), (6, "none")]
+    items = [(1, "Zebra"), (2, "two words"), (3, "words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = decontaminate.benchmark_hits(docs, spark.createDataFrame(items, "item_id int, text string"))
+    assert sorted((str(r.doc_id), r.n_words, r.n_hit, tuple(r.item_ids), r.contaminated) for r in out.collect()) == contamination(rows, items)
+
+
 def test_output_distributions_learn_from_all_training_texts(spark):
     rows = [(k, prose(30, k)) for k in range(12)] + [(k, prose(12000, k)) for k in (50, 51, 52)] + [(60, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
