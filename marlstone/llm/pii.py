@@ -15,22 +15,32 @@ Numbers that fail their validation are left alone.
 Scale: one projection without a shuffle; texts without a digit and without '@' skip the
 patterns.
 
-Defined cases: a null text stays null, an empty one empty; a date that is valid month first is
+The key is an argument, else the session's setting ``spark.marlstone.pii.key``. Without either a
+random key is drawn once for the application: values stay linked within it, and nobody can go
+back afterwards.
+
+Defined cases: a null text stays null, an empty one empty; an empty table gives no rows; a very
+long text or value takes time in proportion to its length (the patterns match without
+recursion); a date that is valid month first is
 read so, else day first; repeated documents come out alike; columns of the added names are
 replaced; all other columns pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+KEY_SETTING = "spark.marlstone.pii.key"
+_DRAWN: dict[str, str] = {}
 #: Splits a string into its characters.
 _CHARS = r"(?<!\A)(?!\z)"
 
 # The patterns of the kinds.
-EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)*"
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)*+"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 SECRET = r"(?<![A-Za-z0-9])(?=[A-Fa-f0-9]*[A-Fa-f])[A-Fa-f0-9]{32,64}(?![A-Za-z0-9])"
 CARD = r"(?<![\d])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,4}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)"
@@ -237,8 +247,14 @@ def _labelled(text: Column, kind: str) -> Column:
     return _with(text, lambda t: F.when(t.isNotNull(), F.struct(F.lit(kind).alias("kind"), t.alias("text"))))
 
 
-def pseudonymised(docs: DataFrame, key: str = "marlstone", back: bool = False) -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    """The key of the session's settings, else one drawn at random for this application."""
+    return spark.conf.get(KEY_SETTING, None) or _DRAWN.setdefault(spark.sparkContext.applicationId, secrets.token_hex(32))
+
+
+def pseudonymised(docs: DataFrame, key: str | None = None, back: bool = False) -> DataFrame:
     """``docs`` with its text rewritten, and pii_kinds: the kinds replaced, in the text's order."""
+    key = key or session_key(docs.sparkSession)
     text = F.col("text")
     order = [c for c in docs.columns if c != "pii_kinds"]
     touched = text.rlike("[0-9@]")

@@ -1,7 +1,11 @@
 """SentencePiece encoding and decoding with exact N-best segmentations.
 
-A text is a lattice: positions are characters, edges are pieces with their scores, and a
-character that is no piece is spelled by its byte pieces. A forward Viterbi pass gives every
+A text is a lattice: positions are characters, edges are pieces with their log probabilities,
+and a character that is no piece is spelled by its byte pieces. A model of merges (BPE) has
+ranks in place of probabilities; a piece's probability then follows from its rank r by the law
+of Zipf and Mandelbrot, 1 / (r + ``RANK_SHIFT``), without any training. With that shift no text
+of the test data gets more pieces than the merges give. Scores are added as whole multiples of
+2 ** -20, so sums are exact and ties are real ones. A forward Viterbi pass gives every
 position its best score from the start; those scores are exact heuristics for an A* search
 backwards from the end, which therefore yields segmentations in the order of their scores.
 
@@ -9,20 +13,24 @@ No piece goes on over the start of a space run (checked when the vocabulary is l
 the lattice falls into independent chunks. The forward pass runs over all distinct chunks of
 a batch at once; it also finds how much each chunk's second segmentation loses. The N best of
 a text can only differ in the N - 1 occurrences that lose least, so A* runs on those chunks
-alone, and their lists are merged best first.
+alone, and their lists are merged best first. As the heuristics are exact, every entry of the
+agenda stands for a whole segmentation of known score, so the agenda never needs more than N.
 
 Scale: encoding is one pass without a shuffle. The vocabulary (some 10,000 pieces, from a
 file whose path is a parameter) is the only thing that is broadcast.
 
 Defined cases: a null or empty text has no pieces; decoding the ids gives every text back
-exactly, whatever characters it has; segmentations of equal scores come in a fixed order;
-repeated documents come out alike; an added column replaces one of the same name.
+exactly, whatever characters it has; of segmentations with equal scores the one with the longer
+last pieces comes first; a very long word takes time and memory in proportion to its length;
+repeated documents come out alike; an empty table gives no rows; an added column replaces one of
+the same name.
 """
 
 from __future__ import annotations
 
 import heapq
 import itertools
+import math
 import re
 from dataclasses import dataclass
 
@@ -36,8 +44,12 @@ from marlstone.llm.textmap import append_columns, span_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NBEST = 4
-#: A chunk of more bytes is searched by itself, not with the others of the batch.
-LONG_CHUNK = 192
+#: A chunk of more bytes is searched by itself, not with the others of the batch; the result is the same.
+LONG_CHUNK = 1024
+RANK_SHIFT = 1000
+#: Scores are whole multiples of 1 / UNIT; the second of something unique is below all of them.
+UNIT = 1 << 20
+_NEVER = -(1 << 60)
 _MARK = "▁"
 #: Spaces open a chunk, and a line end is one by itself.
 _CHUNKS = re.compile(r" +[^ \n]*|\n|[^ \n]+")
@@ -47,10 +59,10 @@ _CHUNKS = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 class Vocabulary:
     """Pieces as UTF-8 (the space mark as a plain space), their scores, and the byte pieces."""
 
-    pieces: dict[bytes, tuple[int, float]]
+    pieces: dict[bytes, tuple[int, int]]
     byte_ids: list[int]
     text_of: list[bytes]
-    spelled: float
+    spelled: int
     longest: int
 
     def __post_init__(self) -> None:
@@ -61,7 +73,7 @@ class Vocabulary:
         order = np.argsort(hashes)
         self.hashes = hashes[order]
         self.ids = np.array([self.pieces[k][0] for k in keys], np.int32)[order]
-        self.scores = np.array([self.pieces[k][1] for k in keys])[order]
+        self.scores = np.array([self.pieces[k][1] for k in keys], np.int64)[order]
         self.maybe = np.zeros(1 << 22, bool)
         self.maybe[self.hashes & np.uint64((1 << 22) - 1)] = True
 
@@ -86,51 +98,65 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
             text_of.append(key)
     if min(byte_ids) < 0:
         raise ValueError("the vocabulary lacks byte pieces")
-    return Vocabulary(pieces, byte_ids, text_of, min(s for _, s in pieces.values()) - 10, max(map(len, pieces)))
-
-
-def edges_of(chunk: bytes, v: Vocabulary) -> list[list[tuple[int, float, tuple[int, ...]]]]:
-    """For each position, the edges that end there: (start, score, ids)."""
-    n = len(chunk)
-    into: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(n + 1)]
-    i = 0
-    while i < n:
-        end = i + 1
-        while end < n and chunk[end] & 0xC0 == 0x80:
-            end += 1
-        for j in range(end, min(n, i + v.longest) + 1):
-            found = v.pieces.get(chunk[i:j])
-            if found:
-                into[j].append((i, found[1], (found[0],)))
-        if chunk[i:end] not in v.pieces:
-            into[end].append((i, v.spelled, tuple(v.byte_ids[b] for b in chunk[i:end])))
-        i = end
-    return into
-
-
-def nbest(chunk: bytes, v: Vocabulary, n: int) -> list[tuple[float, tuple[int, ...]]]:
+    logs = log_probabilities({k: s for k, (_, s) in pieces.items()})
+    units = {k: (i, round(logs[k] * UNIT)) for k, (i, _) in pieces.items()}
+    return Vocabulary(units, byte_ids, text_of, min(s for _, s in units.values()) - 10 * UNIT, max(map(len, pieces)))
+
+
+def log_probabilities(scores: dict[bytes, float]) -> dict[bytes, float]:
+    """Natural log probabilities of pieces: the scores themselves, unless they are whole ranks."""
+    if any(s != int(s) for s in scores.values()):
+        return scores
+    ranked = sorted(scores, key=lambda k: (-scores[k], k))
+    weights = [1 / (r + RANK_SHIFT) for r in range(len(ranked))]
+    total = sum(weights)
+    return {k: math.log(w / total) for k, w in zip(ranked, weights)}
+
+
+def edges_into(chunk: bytes, end: int, v: Vocabulary) -> list[tuple[int, int, tuple[int, ...]]]:
+    """The edges that end at a character's end: (start, score, ids), the longest first."""
+    found = []
+    for i in range(max(0, end - v.longest), end):
+        piece = v.pieces.get(chunk[i:end])
+        if piece:
+            found.append((i, piece[1], (piece[0],)))
+    at = end - 1
+    while chunk[at] & 0xC0 == 0x80:
+        at -= 1
+    if chunk[at:end] not in v.pieces:
+        found.append((at, v.spelled, tuple(v.byte_ids[b] for b in chunk[at:end])))
+    return found
+
+
+def nbest(chunk: bytes, v: Vocabulary, n: int) -> list[tuple[int, tuple[int, ...]]]:
     """The n best (score, ids), by A* from the end with forward Viterbi scores as heuristics.
 
-    Of equal scores the one with the longer last pieces comes first.
+    Of equal scores the one with the longer last pieces comes first. Entries of the agenda are
+    (score of the best whole segmentation, position, number, score after the position, links to
+    the ids after it); beyond the n best ones none can be among the results.
     """
-    into = edges_of(chunk, v)
-    forward = [0.0] + [float("-inf")] * len(chunk)
-    for j in range(1, len(chunk) + 1):
-        for i, score, _ in into[j]:
-            forward[j] = max(forward[j], forward[i] + score)
-    agenda = [(-forward[-1], (), len(chunk), 0.0, None)]
-    out = []
+    size = len(chunk)
+    forward = [_NEVER] * (size + 1)
+    forward[0] = 0
+    for j in range(1, size + 1):
+        if j == size or chunk[j] & 0xC0 != 0x80:
+            forward[j] = max(forward[i] + score for i, score, _ in edges_into(chunk, j, v))
+    number = itertools.count()
+    agenda: list[tuple] = [(-forward[-1], size, next(number), 0, None)]
+    out: list[tuple[int, tuple[int, ...]]] = []
     while agenda and len(out) < n:
-        _, path, at, after, tail = heapq.heappop(agenda)
+        _, at, _, after, links = agenda.pop(0)
         if at == 0:
             ids: list[int] = []
-            while tail:
-                ids.extend(tail[0])
-                tail = tail[1]
+            while links:
+                ids.extend(links[0])
+                links = links[1]
             out.append((after, tuple(ids)))
             continue
-        for i, score, ids in into[at]:
-            heapq.heappush(agenda, (-(after + score + forward[i]), (*path, i), i, after + score, (ids, tail)))
+        for i, score, own in edges_into(chunk, at, v):
+            agenda.append((-(after + score + forward[i]), i, next(number), after + score, (own, links)))
+        agenda.sort(key=lambda e: e[:3])
+        del agenda[n - len(out) :]
     return out
 
 
@@ -187,7 +213,7 @@ def _best_of(chunks: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray
     edge_from.append(spelled)
     edge_to.append(spelled + width[spelled])
     edge_id.append(np.full(len(spelled), -1, np.int32))
-    edge_score.append(np.full(len(spelled), v.spelled))
+    edge_score.append(np.full(len(spelled), v.spelled, np.int64))
     frm, to, ids, score = map(np.concatenate, (edge_from, edge_to, edge_id, edge_score))
     # Positions of chunk k are start[k] + k ... end[k] + k, so that ends and starts differ.
     chunk_of = np.repeat(np.arange(len(chunks)), size)
@@ -195,8 +221,8 @@ def _best_of(chunks: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray
     rel = to - start[k]
     order = np.lexsort((to - frm, rel))
     frm, to, ids, score, rel = frm[order] + k[order], to[order] + k[order], ids[order], score[order], rel[order]
-    best = np.full(n + len(chunks), -np.inf)
-    second = np.full(n + len(chunks), -np.inf)
+    best = np.full(n + len(chunks), _NEVER)
+    second = np.full(n + len(chunks), _NEVER)
     chosen = np.full(n + len(chunks), -1)
     best[start + np.arange(len(chunks))] = 0
     steps = np.searchsorted(rel, np.arange(1, (size.max() if len(size) else 0) + 2))
@@ -209,7 +235,7 @@ def _best_of(chunks: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray
         np.maximum.at(second, target[other], s[other])
     position = end + np.arange(len(chunks))
     first_position = start + np.arange(len(chunks))
-    total, loss = best[position].copy(), np.full(len(chunks), np.inf)
+    total, loss = best[position].copy(), np.full(len(chunks), -_NEVER)
     live = np.arange(len(chunks))
     walked_chunk, walked_edge = [], []
     while len(live):
@@ -249,10 +275,10 @@ def chunks_of(text: str) -> list[str]:
     return _CHUNKS.findall(" " + text) if text else []
 
 
-def combined(lists: list[list[tuple[float, tuple[int, ...]]]], n: int) -> list[tuple[float, tuple[int, ...]]]:
+def combined(lists: list[list[tuple[int, tuple[int, ...]]]], n: int) -> list[tuple[int, tuple[int, ...]]]:
     """The n best choices of one entry from each list: (score lost, index chosen in each)."""
     start = (0,) * len(lists)
-    heap, seen, out = [(0.0, start)], {start}, []
+    heap, seen, out = [(0, start)], {start}, []
     while heap and len(out) < n:
         lost, choice = heapq.heappop(heap)
         out.append((lost, choice))
@@ -275,7 +301,7 @@ class Encoder:
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
         self.names: list[str] = []
-        self.score, self.loss = np.zeros(0), np.zeros(0)
+        self.score, self.loss = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
         self.lists: dict[int, list[tuple[float, tuple[int, ...]]]] = {}
@@ -284,7 +310,7 @@ class Encoder:
         """Best segmentations of new chunks."""
         v, known, at = self.v, len(self.names), len(self.flat)
         short = [k for k, c in enumerate(raw) if len(c) <= LONG_CHUNK]
-        score, loss = np.zeros(len(raw)), np.full(len(raw), np.inf)
+        score, loss = np.zeros(len(raw), np.int64), np.full(len(raw), -_NEVER)
         first, count = np.zeros(len(raw), np.int64), np.zeros(len(raw), np.int64)
         score[short], loss[short], flat, ends = best_of_chunks([raw[k] for k in short], v)
         count[short] = np.diff(np.concatenate([[0], ends]))
@@ -296,7 +322,7 @@ class Encoder:
                 own = self.lists[known + k] = nbest(c, v, max(2, self.n))
                 extra.append(np.array(own[0][1], np.int32))
                 score[k], first[k], count[k] = own[0][0], at, len(extra[-1])
-                loss[k] = own[0][0] - own[1][0] if len(own) > 1 else np.inf
+                loss[k] = own[0][0] - own[1][0] if len(own) > 1 else -_NEVER
                 at += len(extra[-1])
         self.flat = np.concatenate([self.flat, *extra])
         self.score, self.loss = np.append(self.score, score), np.append(self.loss, loss)
@@ -320,13 +346,13 @@ class Encoder:
             total = int(counts.sum())
             ids = self.flat[np.repeat(self.first[seq] - before, counts) + np.arange(total)] if total else self.flat[:0]
             alternatives = []
-            base = float(self.score[seq].sum())
+            base = int(self.score[seq].sum())
             if len(seq) and n > 1:
                 losses = self.loss[seq]
                 few = np.argpartition(losses, n - 2)[: n - 1] if len(seq) > n - 1 else np.arange(len(seq))
                 few = np.flatnonzero(losses <= losses[few].max())
                 few = np.sort(few[np.lexsort((few, losses[few]))][: n - 1])
-                few = few[np.isfinite(losses[few])]
+                few = few[losses[few] < -_NEVER // 2]
                 own = []
                 for p in few:
                     k = int(seq[p])
@@ -335,8 +361,8 @@ class Encoder:
                     own.append(self.lists[k])
                 for lost, choice in combined(own, n)[1:]:
                     edits = [{"at": int(before[p]), "drop": int(counts[p]), "ids": list(own[j][c][1])} for j, (p, c) in enumerate(zip(few, choice)) if c]
-                    alternatives.append({"score": base - lost, "edits": edits})
-            out.append((ids, base, alternatives))
+                    alternatives.append({"score": (base - lost) / UNIT, "edits": edits})
+            out.append((ids, base / UNIT, alternatives))
         return out
 
 

@@ -69,7 +69,7 @@ def test_ordinal(spark, no_docs):
 
 def test_windows_score_each_token_once():
     seqs = [np.arange(1, n + 1) for n in (0, 1, 15, 16, 17, 50, 100)]
-    inputs, targets, owner = windows(seqs, 0)
+    inputs, targets, owner = windows(np.concatenate(seqs), [len(x) for x in seqs], 0)
     assert inputs.shape[1] == LENGTH and targets.shape[1] == STRIDE
     for k, s in enumerate(seqs):
         own = targets[owner == k].ravel()
@@ -85,15 +85,21 @@ def test_attention_probabilities():
     rng = np.random.default_rng(0)
     seqs = [np.array([1, 2, 3, 4] * 6 if rng.random() < 0.5 else [5, 6, 7, 8] * 6) for _ in range(200)]
     m = AttentionModel(9, mixes=8)
-    m.train(seqs, 0, steps=120, batch=64)
+    pack = lambda seqs: (np.concatenate(seqs), [len(x) for x in seqs], 0)
+    i, t, _ = windows(*pack(seqs))
+    m.learn(i, t, m.begin(t), 160, batch=64)
+    total = np.zeros((9, 8))
+    m.gather(i, t, total)
+    m.settle(total)
     assert np.allclose(m.emitted.sum(axis=0), 1, atol=1e-4)
-    i, t, _ = windows(seqs[:20], 0)
+    i, t, _ = windows(*pack(seqs[:20]))
     logs, start = m.each_log10(i, t, m.mass(np.ones(9, bool)))
     assert np.allclose(start, 0, atol=1e-4) and logs.mean() > -0.35
+    i = i[i[:, -1] >= 0]
     late = i.copy()
     late[:, -1] = 3  # what comes later doesn't change what came before
-    before = m._forward(i)["pi"].reshape(len(i), STRIDE, -1)[:, :-1]
-    assert np.allclose(before, m._forward(late)["pi"].reshape(len(i), STRIDE, -1)[:, :-1], atol=1e-5)
+    before = m.probabilities(i).reshape(len(i), STRIDE, -1)[:, :-1]
+    assert np.allclose(before, m.probabilities(late).reshape(len(i), STRIDE, -1)[:, :-1], atol=1e-5)
 
 
 def test_lm_scoring(spark, docs, no_docs):
@@ -132,8 +138,13 @@ def test_sentencepiece_nbest():
             for s2, rest in every(data, end):
                 yield v.spelled + s2, (*[v.byte_ids[b] for b in data[at:end]], *rest)
 
+    unit = sentencepieces.UNIT
     for text in ("the cat", "the the", "aé ▁b", "thon erth", "a\nb c", "  x", "ñ 世\U0001f600", "x" * 9):
         best = sorted(every((" " + text).encode()), key=lambda x: -x[0])
+        chunk = (" " + text).encode()
+        apart = sentencepieces.nbest(chunk, v, 5)
+        assert [s for s, _ in apart] == [s for s, _ in best[:5]] and set(apart) <= set(best) and len(set(apart)) == len(apart)
+        assert sentencepieces.best_of_chunks([chunk], v)[2].tolist() == list(apart[0][1])
         ids, score, more = sentencepieces.encode_batch([text], v, 5)[0]
         got = [(score, tuple(ids.tolist()))]
         for alt in more:
@@ -141,11 +152,38 @@ def test_sentencepiece_nbest():
             for e in sorted(alt["edits"], key=lambda e: -e["at"]):
                 own[e["at"] : e["at"] + e["drop"]] = e["ids"]
             got.append((alt["score"], tuple(own)))
+        best = [(s / unit, p) for s, p in best]
         assert [s for s, _ in got] == [s for s, _ in best[:5]]
         assert set(got) <= set(best) and len({p for _, p in got}) == len(got)
         assert all(sentencepieces.decode(p, v) == text for _, p in got)
 
 
+def test_no_more_pieces_than_the_merges_give():
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=sentencepieces.MODEL)
+    v = sentencepieces.load_vocabulary()
+    assert abs(sum(math.exp(s / sentencepieces.UNIT) for _, s in v.pieces.values()) - 1) < 1e-3
+    plain = [
+        "the old river mountain grew quietly under snow", "international tokenization", "It was the best of times, it was the worst of times.", "Large models are trained on trillions of tokens collected from the web.",
+        "Counting the unusual characteristics of refrigerators requires patience and determination.", *[r[1] or "" for r in documents()],
+    ]
+    ours = [len(m[0]) for m in sentencepieces.encode_batch(plain, v, 1)]
+    assert all(a <= b for a, b in zip(ours, map(len, library.encode(plain)))) and ours[0] == 8 and ours[1] == 3
+
+
+def test_long_words_are_cut_like_short_ones():
+    v = sentencepieces.load_vocabulary()
+    rng = random.Random(1)
+    for n in (300, 900):
+        word = (" " + "".join(rng.choice("abcdeé") for _ in range(n))).encode()
+        score, loss, ids, _ = sentencepieces.best_of_chunks([word], v)
+        one, two = sentencepieces.nbest(word, v, 2)
+        assert one == (score[0], tuple(ids.tolist())) and one[0] - two[0] == loss[0]
+    same = sentencepieces.nbest(b"ab" * 2000, v, 4)
+    assert len({p for _, p in same}) == 4 and sorted((s for s, _ in same), reverse=True) == [s for s, _ in same]
+
+
 def test_sentencepiece_round_trip(docs, no_docs):
     out = sentencepieces.encoded(docs.withColumn("ids", F.lit("clash")))
     assert out.where("not round_trip").count() == 0
