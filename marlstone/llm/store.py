@@ -1,7 +1,8 @@
 """Where intermediate tables go: the folder that the cluster shares.
 
-The folder is the one named in ``spark.checkpoint.dir``. Only where that setting is absent
-(unit tests on one machine) a temporary folder of the driver is used.
+The folder is the one named in ``spark.checkpoint.dir``. Where that setting is absent and the
+master is local (unit tests on one machine) a temporary folder of the driver is used; on a
+cluster its absence is an error, because executors can't read the driver's folders.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(named)
         return named.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if sc.applicationId not in _FALLBACK:
         _FALLBACK[sc.applicationId] = tempfile.mkdtemp(prefix="marlstone-")
         sc.setCheckpointDir(_FALLBACK[sc.applicationId])

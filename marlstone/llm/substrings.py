@@ -12,8 +12,9 @@ the other windows are compared as a whole first (copies and quoted passages are
 and only the first of each group of equal runs is opened into windows, which are counted.
 
 Scale: anchors, runs and windows are counted by partial aggregation, so a passage in a third
-of all documents sends one row a task; occurrences meet their counts in joins whose large
-keys Spark splits. Shuffle files and tables of a step go when it is over.
+of all documents sends one row a task. Which occurrence is the first is a grouped minimum;
+occurrences meet counts and firsts, which are stored before, in joins whose large keys Spark
+splits. Shuffle files and tables of a step go when it is over.
 
 Defined cases: a null or empty text has no words; rows with the same doc_id and text are one
 document repeated and get the same result; documents with one doc_id and different texts
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -189,23 +190,30 @@ def removal_intervals(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
     runs = stored(_run_rows(joined, window, anchor), "runs")
     discard(places)
 
-    order = F.struct("doc_id", "text_hash", "start")
-    first_runs = runs.groupBy("run_a", "run_b").agg(F.min(order).alias("first"))
-    judged = runs.join(first_runs.hint("merge"), ["run_a", "run_b"])
-    # The first of equal runs is opened into its windows; any other goes as a whole.
-    is_first = order == F.col("first")
-    opened = F.when(is_first, F.arrays_zip("windows", "checks", "later"))
-    length = F.when(is_first, F.lit(window)).otherwise(F.size("windows") - 1 + window)
-    rows = judged.select("doc_id", "text_hash", "start", length.alias("length"), F.posexplode_outer(opened).alias("k", "w"))
-    rows = rows.select("doc_id", "text_hash", (F.col("start") + F.coalesce("k", F.lit(0))).alias("start"), "length", (F.col("w").isNull() | F.col("w.later")).alias("known"), "w")
-    # What is known to be a repeat needs no company: it gets a key of its own.
-    key = F.when(F.col("known"), F.xxhash64("doc_id", "text_hash", "start")).otherwise(F.col("w.windows"))
-    rows = rows.select("doc_id", "text_hash", "start", "length", "known", key.alias("w"), F.when(F.col("known"), -1).otherwise(F.col("w.checks")).alias("c"))
-    place = F.rank().over(Window.partitionBy("w", "c").orderBy("doc_id", "text_hash", "start"))
-    later = rows.withColumn("place", place).where("known or place > 1")
+    order = ["doc_id", "text_hash", "start"]
+    first_runs = runs.groupBy("run_a", "run_b").agg(F.min(F.struct(*order)).alias("f")).select("run_a", "run_b", *(F.col("f")[c].alias(f"f_{c}") for c in order), F.lit(True).alias("first"))
+    # The place is part of the key, so the runs of one group are dealt out.
+    own = [F.col(c).eqNullSafe(F.col(f"f_{c}")) for c in order]
+    same = [runs[c] == first_runs[c] for c in ("run_a", "run_b")]
+    judged = runs.join(first_runs.hint("merge"), [*same, *own], "left").select(*order, F.coalesce("first", F.lit(False)).alias("first"), F.size("windows").alias("n"), "windows", "checks", "later")
+    lists = [F.when(F.col("first"), F.col(c)).alias(c) for c in ("windows", "checks", "later")]
+    judged = stored(judged.select(*order, "first", "n", *lists), "judged-runs")
+    discard(runs)
+    # Of equal runs the first is opened into its windows; any other goes as a whole.
+    whole = judged.where("not first").select(*order, (F.col("n") - 1 + window).alias("length"))
+    opened = judged.where("first").select(*order, F.posexplode(F.arrays_zip("windows", "checks", "later")).alias("k", "w"))
+    opened = opened.select("doc_id", "text_hash", (F.col("start") + F.col("k")).alias("start"), F.col("w.windows").alias("w"), F.col("w.checks").alias("c"), F.col("w.later").alias("known"))
+    known = opened.where("known").select(*order, F.lit(window).alias("length"))
+    opened = opened.where("not known").drop("known")
+    common = stored(opened.groupBy("w", "c").count().where(F.col("count") > 1).select("w", "c"), "common-windows")
+    met = stored(opened.join(common.hint("merge"), ["w", "c"], "left_semi"), "met-windows")
+    firsts = stored(met.groupBy("w", "c").agg(F.min(F.struct(*order)).alias("f")), "first-windows")
+    again = met.join(firsts.hint("merge"), ["w", "c"]).where(F.struct(*order) != F.col("f")).select(*order, F.lit(window).alias("length"))
+    later = whole.unionByName(known).unionByName(again)
     later = later.select(F.xxhash64("doc_id", "text_hash").alias("doc"), F.col("start").alias("a"), (F.col("start") + F.col("length")).alias("b"))
     out = stored(later.groupBy("doc").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "removals")
-    discard(runs)
+    for table in (judged, common, met, firsts):
+        discard(table)
     return out
 
 

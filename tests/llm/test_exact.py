@@ -1,6 +1,7 @@
 """Operators against brute force: decontamination, substrings, SimHash, quality counts."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -53,8 +54,30 @@ def test_decontamination(spark, docs, no_docs):
 
 
 def test_wu_manber_shifts():
-    table = decontaminate.build_tables([("x", "a b c d e f g h i j k l m n")], 13)[0]
-    assert table.most == 11 and table.shift[(b"l", b"m", b"n")] == 0 and table.shift[(b"a", b"b", b"c")] == 10
+    tables, ids = decontaminate.build_tables([("x", "a b c d e f g h i j k l m n"), ("y", "A, b c d e f g h i j k l m n"), ("z", None)], 13)
+    (table,) = tables
+    blocks = decontaminate._runs(decontaminate.Words(pa.array(["l m n a b c z z z"])).hashes, 3)
+    shift = lambda h: dict(zip(table.keys.tolist(), table.shifts.tolist())).get(int(h), table.most)
+    assert (table.most, shift(blocks[0]), shift(blocks[3]), shift(blocks[6])) == (11, 0, 10, 11)
+    assert table.pattern(0) in (b"a b c d e f g h i j k l m", b"b c d e f g h i j k l m n") and len(ids) == 3
+
+
+def test_table_size_is_bounded():
+    rng = np.random.default_rng(0)
+    words = np.array([f"w{k:x}" for k in range(50_000)])
+    items = [(str(k), " ".join(rng.choice(words, 400))) for k in range(1500)]
+    size = sum(len(t) for _, t in items)
+    tables, _ = decontaminate.build_tables(items, 13)
+    held = sum(x.nbytes if isinstance(x, np.ndarray) else len(x) for t in tables for x in vars(t).values() if isinstance(x, (np.ndarray, bytes)))
+    assert held < decontaminate.TABLE_FACTOR * size
+
+
+def test_hits_in_many_stretches(spark):
+    rng = random.Random(3)
+    rows = [(k, rng.choice([" ", ", ", "-- "]).join(rng.choice("ab") for _ in range(rng.randrange(3000)))) for k in range(12)]
+    items = [(k, " ".join(rng.choice("ab") for _ in range(n))) for k, n in enumerate((1, 2, 3, 4, 7, 12, 13, 30))]
+    out = decontaminate.benchmark_hits(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items[4:], "item_id int, text string"))
+    assert sorted((str(r.doc_id), r.n_words, r.n_hit, tuple(r.item_ids), r.contaminated) for r in out.collect()) == contamination(rows, items[4:])
 
 
 def removals(rows, window):
