@@ -7,18 +7,20 @@ share a shard as long as their group is no larger than the largest document or a
 shard; a larger group is dealt out in parts of about that size, so that no group of copies,
 however large, unbalances a shard.
 
-Scale: medians are found from histograms of ``CELLS`` cells a node, refined cell by cell, all
-nodes of a level at once; only histograms reach the driver. Groups are summed before they are
-shuffled. Slots are numbered in two steps (a prefix sum over the pieces of the input, then
+Scale: one job a level makes the histograms of all dimensions of all nodes; another refines the
+cells in which a median lies, where they are too heavy. Only histograms reach the driver,
+``CELLS`` cells in all at once. Groups are summed before they are shuffled. Slots are numbered in two steps (a prefix sum over the pieces of the input, then
 within a piece), so no shard is gathered in one task.
 
 Defined cases: a null text has no bytes and counts as the empty text; a null metadata value
-sorts first; repeated documents are placed each for itself; an empty table gives no rows;
+sorts first; metadata is compared by the six bytes after the beginning that all values share;
+repeated documents are placed each for itself; an empty table gives no rows;
 with few documents some shards stay empty.
 """
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.store import stored
 
-CELLS = 1024
+CELLS = 1 << 16
 OVERHEAD = 16
 _TIE_MAX = (1 << 62) - 1
 
@@ -42,6 +44,8 @@ class _Node:
     tie: int = 0
     left: _Node | None = None
     right: _Node | None = None
+    #: Least and greatest value of each dimension.
+    box: list[tuple[int, int]] = field(default_factory=list)
     # the running search
     goal: float = 0.0
     before: float = 0.0
@@ -51,9 +55,17 @@ class _Node:
     done: bool = field(default=False)
 
 
-def _code(name: str) -> Column:
-    """A string's first six bytes as an order-preserving number."""
-    return F.coalesce(F.conv(F.rpad(F.hex(F.substring(F.encode(F.col(name).cast("string"), "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("long"), F.lit(-1))
+def _code(name: str, skip: int) -> Column:
+    """Six bytes of a string, after ``skip`` bytes, as an order-preserving number; a null is -1."""
+    return F.coalesce(F.conv(F.rpad(F.hex(F.substring(F.encode(F.col(name).cast("string"), "UTF-8"), skip + 1, 6)), 12, "0"), 16, 10).cast("long"), F.lit(-1))
+
+
+def _shared_beginnings(docs: DataFrame, names: list[str]) -> list[int]:
+    """How many bytes all values of each column have in common: those of the least and the greatest."""
+    if not names:
+        return []
+    ends = docs.agg(*[f(F.encode(F.col(n).cast("string"), "UTF-8")) for n in names for f in (F.min, F.max)]).first()
+    return [len(os.path.commonprefix([bytes(a), bytes(b)])) if a is not None else 0 for a, b in zip(ends[::2], ends[1::2])]
 
 
 def _pick(values: list, index: Column, kind: str = "long") -> Column:
@@ -69,14 +81,16 @@ def _route(node: _Node, leaf) -> Column:
     return F.when(goes_left, _route(node.left, leaf)).otherwise(_route(node.right, leaf))
 
 
-def _choose(node: _Node, cells: list[tuple[int, float, int]], width: int, tolerance: float) -> None:
-    """Take a boundary of the histogram as the cut if it is near enough, else go into the cell."""
+def _choose(node: _Node, cells: list[tuple[int, int, float, int]], tolerance: float) -> None:
+    """Take a boundary of the histogram as the cut if it is near enough, else go into the cell.
+
+    ``cells`` are (least value, greatest value, bytes, atoms), in order.
+    """
     total = node.before
-    for cell, weight, atoms in cells:
-        if total + weight < node.goal and cell != cells[-1][0]:
+    for start, end, weight, atoms in cells:
+        if total + weight < node.goal and (start, end) != cells[-1][:2]:
             total += weight
             continue
-        start, end = node.low + cell * width, min(node.high, node.low + (cell + 1) * width - 1)
         under, over = node.goal - total, total + weight - node.goal
         single = atoms == 1 or (node.on_tie and start == end)
         if single or min(abs(under), abs(over)) <= tolerance:
@@ -91,42 +105,57 @@ def _choose(node: _Node, cells: list[tuple[int, float, int]], width: int, tolera
     node.done = True
 
 
+def _histogram(rows: DataFrame, lows: list[int], highs: list[int], most: int) -> dict[int, list[tuple[int, int, float, int]]]:
+    """(least, greatest, bytes, atoms) of the cells of each slot of ``rows`` (slot, value, bytes)."""
+    cells = max(64, most // max(1, len(lows)))
+    widths = [max(1, -(-(high - low + 1) // cells)) for low, high in zip(lows, highs)]
+    slot = F.col("slot")
+    cell = _divided(F.col("value") - _pick(lows, slot), _pick(widths, slot))
+    table = rows.groupBy("slot", cell.alias("cell")).agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).collect()
+    found: dict[int, list[tuple[int, int, float, int]]] = {}
+    for r in sorted(table, key=lambda r: (r["slot"], r["cell"])):
+        found.setdefault(r["slot"], []).append((r["low"], r["high"], float(r["bytes"]), r["n"]))
+    return found
+
+
 def build_tree(atoms: DataFrame, dims: int, shards: int, tolerance: float) -> _Node:
     """The tree over ``atoms`` (d0.., tie, bytes); tolerance: bytes a cut may be off its goal."""
-    root = _Node(0, shards)
-    ends = atoms.agg(*[f(f"d{k}") for k in range(dims) for f in (F.min, F.max)]).first()
-    spans = [max(1, (ends[2 * k + 1] or 0) - (ends[2 * k] or 0)) for k in range(dims)]
+    names = [f"d{k}" for k in range(dims)]
+    ends = atoms.agg(*[f(n) for n in names for f in (F.min, F.max)]).first()
+    root = _Node(0, shards, box=[(ends[2 * k] or 0, ends[2 * k + 1] or 0) for k in range(dims)])
+    spans = [max(1, high - low) for low, high in root.box]
     level = [root]
     while level := [n for n in level if n.count > 1]:
         index = {id(n): k for k, n in enumerate(level)}
         at = atoms.withColumn("node", _route(root, lambda n: index.get(id(n), -1))).where("node >= 0")
-        sums = at.groupBy("node").agg(F.sum("bytes"), *[f(f"d{k}") for k in range(dims) for f in (F.min, F.max)]).collect()
-        for n in level:
-            n.done = True
-        for r in sums:
-            n = level[r[0]]
-            low, high = r[2::2], r[3::2]
-            n.dim = max(range(dims), key=lambda k: (high[k] - low[k]) / spans[k])
-            n.goal, n.before, n.low, n.high, n.done = r[1] * (n.count // 2) / n.count, 0.0, low[n.dim], high[n.dim], False
+        each = at.select("node", "bytes", F.posexplode(F.array(*names)).alias("dim", "value")).select((F.col("node") * dims + F.col("dim")).alias("slot"), "value", "bytes")
+        found = _histogram(each, [n.box[k][0] for n in level for k in range(dims)], [n.box[k][1] for n in level for k in range(dims)], CELLS)
+        for j, n in enumerate(level):
+            own = [found.get(j * dims + k, []) for k in range(dims)]
+            n.done = not own[0]
+            if n.done:
+                continue
+            n.box = [(cells[0][0], cells[-1][1]) for cells in own]
+            n.dim = max(range(dims), key=lambda k: (n.box[k][1] - n.box[k][0]) / spans[k])
+            n.goal = sum(c[2] for c in own[n.dim]) * (n.count // 2) / n.count
+            _choose(n, own[n.dim], tolerance)
         while open_nodes := [n for n in level if not n.done]:
-            widths = [max(1, -(-(n.high - n.low + 1) // CELLS)) for n in level]
-            node = F.col("node")
-            d = F.element_at(F.array(*[F.col(f"d{k}") for k in range(dims)]), _pick([n.dim for n in level], node, "int") + 1)
-            on_tie = _pick([n.on_tie for n in level], node, "boolean")
-            value = F.when(on_tie, F.col("tie")).otherwise(d)
-            inside = _pick([not n.done for n in level], node, "boolean") & value.between(_pick([n.low for n in level], node), _pick([n.high for n in level], node))
-            inside = inside & (~on_tie | (d == _pick([n.value for n in level], node)))
-            cell = _divided(value - _pick([n.low for n in level], node), _pick(widths, node))
-            hist = at.where(inside).select("node", cell.alias("cell"), "bytes").groupBy("node", "cell").agg(F.sum("bytes"), F.count("*")).collect()
-            found: dict[int, list[tuple[int, float, int]]] = {}
-            for r in sorted(hist, key=lambda r: (r[0], r[1])):
-                found.setdefault(r[0], []).append((r[1], float(r[2]), r[3]))
+            slots = {id(n): k for k, n in enumerate(open_nodes)}
+            slot = _pick([slots.get(id(n), -1) for n in level], F.col("node"), "int")
+            d = F.element_at(F.array(*names), _pick([n.dim for n in level], F.col("node"), "int") + 1)
+            on_tie = _pick([n.on_tie for n in open_nodes], F.col("slot"), "boolean")
+            rows = at.withColumn("slot", slot).where("slot >= 0").withColumn("d", d)
+            rows = rows.where(~on_tie | (F.col("d") == _pick([n.value for n in open_nodes], F.col("slot")))).select("slot", F.when(on_tie, F.col("tie")).otherwise(F.col("d")).alias("value"), "bytes")
+            lows, highs = [n.low for n in open_nodes], [n.high for n in open_nodes]
+            rows = rows.where(F.col("value").between(_pick(lows, F.col("slot")), _pick(highs, F.col("slot"))))
+            found = _histogram(rows, lows, highs, CELLS)
             for n in open_nodes:
-                k = index[id(n)]
-                _choose(n, found.get(k, []), widths[k], tolerance)
+                _choose(n, found.get(slots[id(n)], []), tolerance)
         for n in level:
             half = n.count // 2
-            n.left, n.right = _Node(n.first, half), _Node(n.first + half, n.count - half)
+            n.left, n.right = _Node(n.first, half, box=list(n.box)), _Node(n.first + half, n.count - half, box=list(n.box))
+            low, high = n.box[n.dim]
+            n.left.box[n.dim], n.right.box[n.dim] = (low, max(low, min(high, n.value))), (max(low, min(high, n.value)), high)
         level = [c for n in level for c in (n.left, n.right)]
     return root
 
@@ -145,7 +174,7 @@ def kd_shards(docs: DataFrame, shards: int = 40, dimensions: tuple[str, ...] = (
         (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("text_hash"),
-        *[_code(n).alias(f"m{k}") for k, n in enumerate(names)],
+        *[_code(n, skip).alias(f"m{k}") for k, (n, skip) in enumerate(zip(names, _shared_beginnings(docs, names)))],
         F.monotonically_increasing_id().alias("rid"),
     )
     rows = stored(rows, "shard-rows")
