@@ -68,7 +68,7 @@ def test_counts_and_distributions_learn_from_all_training_texts(spark):
     cut = lm_scoring.Pieces(proto.value)
     for t in training:
         inputs, targets, _ = windows(*cut.ids(*cut.numbers(pa.array([t]))), end)
-        model.gather(inputs, targets, total)
+        model.tally(inputs, targets, total)
     one = lm_scoring.settled(found, model).emitted.copy()
     model.settle(total)
     assert np.allclose(one, model.emitted, rtol=1e-3, atol=1e-9) and not np.allclose(one, before, rtol=1e-2)
