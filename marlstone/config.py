@@ -64,7 +64,7 @@ class EvaluationConfig:
     judge: JudgeConfig = JudgeConfig()
     evidence: EvidenceConfig = EvidenceConfig()
     gates: GateConfig = GateConfig()
-    minimum_record_overlap: float = 0.95
+    minimum_record_overlap: float = 0.80
 
     @classmethod
     def from_mapping(cls, values: Mapping[str, Any]) -> EvaluationConfig:

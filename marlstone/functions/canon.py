@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marlstone.functions.text import is_blank
+
 UNIT = 31  # the separator of hashed parts
 
 
@@ -49,12 +51,12 @@ def is_json_object(text: pd.Series) -> pd.Series:
 
 
 def format_valid(answer: Column, required: Column) -> Column:
-    """Null without a requirement; json parses, json_object is an object, any other isn't blank."""
+    """Null without a requirement (null, '' or '{}'); JSON parses, json_object is an object, any other isn't blank."""
     return (
-        F.when(required.isNull(), F.lit(None).cast("boolean"))
-        .when(required == "json", parses_as_json(answer))
+        F.when(required.isNull() | required.isin("", "{}"), F.lit(None).cast("boolean"))
+        .when(required.isin("json", "application/json"), parses_as_json(answer))
         .when(required == "json_object", is_json_object(answer))
-        .otherwise(F.trim(F.coalesce(answer, F.lit(""))) != "")
+        .otherwise(~is_blank(answer))
     )
 
 

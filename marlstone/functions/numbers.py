@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from marlstone.functions.text import stripped
+
 
 def number(text: Column) -> Column:
     """A float, or null where the text isn't one."""
-    return F.trim(text).try_cast("double")
+    return stripped(text).try_cast("double")
 
 
 def ratio(top: Column, bottom: Column, empty: float | None = 0.0) -> Column:
@@ -20,8 +22,3 @@ def ratio(top: Column, bottom: Column, empty: float | None = 0.0) -> Column:
 def percent(top: Column, bottom: Column) -> Column:
     """A percentage; null without a denominator."""
     return F.when(bottom != 0, top / bottom * 100)
-
-
-def nearest_rank(sorted_values: Column, fraction: float) -> Column:
-    """The value at the half-even rounded rank (n - 1) * fraction of a sorted array."""
-    return F.element_at(sorted_values, F.rint((F.size(sorted_values) - 1) * F.lit(fraction)).cast("int") + 1)

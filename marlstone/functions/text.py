@@ -2,17 +2,49 @@
 
 from __future__ import annotations
 
+import re
+import sys
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: White space as Python's strings have it: Unicode's, and four more controls.
+_SPACE = r"[\s\x1C-\x1F]"
+
+
+def stripped(text: Column) -> Column:
+    """Without white space of any kind at the ends; null stays null."""
+    return F.regexp_replace(text, rf"(?U)\A{_SPACE}+|{_SPACE}+\z", "")
+
+
+def is_blank(text: Column) -> Column:
+    """Null, or nothing but white space."""
+    return stripped(F.coalesce(text, F.lit(""))) == ""
+
 
 def _collapsed(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?U){_SPACE}+", " "))
+
+
+@cache
+def _foldings() -> dict[str, str]:
+    """Lower-case characters whose case folding is something else (the sharp s, final sigma, ligatures ...)."""
+    every = map(chr, range(sys.maxunicode + 1))
+    return {c: c.casefold() for c in every if c.casefold() != c == c.lower()}
+
+
+def casefold(text: Column) -> Column:
+    """Full Unicode case folding: lower case, and the few characters that fold further."""
+    low = F.lower(text)
+    table = F.create_map(*[F.lit(x) for kv in _foldings().items() for x in kv])
+    folded = F.array_join(F.transform(F.split(low, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    return F.when(low.rlike("[" + re.escape("".join(_foldings())) + "]"), folded).otherwise(low)
 
 
 def normalize_answer(text: Column) -> Column:
-    """Null as '', white space collapsed, case folded (with the sharp s, unlike lower)."""
-    return F.replace(F.lower(_collapsed(text)), F.lit("ß"), F.lit("ss"))
+    """Null as '', white space collapsed, case folded."""
+    return casefold(_collapsed(text))
 
 
 def normalize_training_answer(text: Column) -> Column:
@@ -55,14 +87,16 @@ def strip_checksum(text: Column) -> Column:
 
 
 def label(name: Column) -> Column:
-    """A display label: underscores become spaces, the first letter a capital."""
-    spaced = F.replace(name, F.lit("_"), F.lit(" "))
-    return F.concat(F.upper(F.substring(spaced, 1, 1)), F.substring(spaced, F.lit(2), F.length(spaced)))
+    """A display label: underscores become spaces, the first letter a capital, all others small."""
+    spaced = stripped(F.replace(name, F.lit("_"), F.lit(" ")))
+    return F.concat(F.upper(F.substring(spaced, 1, 1)), F.lower(F.substring(spaced, F.lit(2), F.length(spaced))))
 
 
-def format_metric(value: Column, digits: int = 1, unit: str = "") -> Column:
-    """A fixed number of digits and a unit; 'n/a' for null."""
-    return F.coalesce(F.concat(F.format_string(f"%.{digits}f", value.cast("double")), F.lit(unit)), F.lit("n/a"))
+def format_metric(value: Column, digits: int = 4, unit: str = "") -> Column:
+    """Fractions with a fixed number of digits, anything else as it is, and a unit; 'unavailable' for null."""
+    fraction = F.typeof(value).isin("double", "float") | F.startswith(F.typeof(value), F.lit("decimal"))
+    shown = F.when(fraction, F.format_string(f"%.{digits}f", value.cast("double"))).otherwise(value.cast("string"))
+    return F.when(value.isNull(), "unavailable").otherwise(F.concat(shown, F.lit(unit)))
 
 
 def loading_status(seconds: Column, vram_bytes: Column, percent: Column, watts: Column, celsius: Column) -> Column:
@@ -80,8 +114,8 @@ def loading_status(seconds: Column, vram_bytes: Column, percent: Column, watts:
 
 def without_fences(text: Column) -> Column:
     """The content of a fenced block, without the fence and its json tag."""
-    bare = F.trim(text)
-    inner = F.trim(F.regexp_replace(bare, r"^`+(?:json)?|`+$", ""))
+    bare = stripped(text)
+    inner = stripped(F.regexp_replace(bare, r"^`+(?:json)?|`+$", ""))
     return F.when(F.startswith(bare, F.lit("```")), inner).otherwise(bare)
 
 
@@ -97,12 +131,18 @@ def metric_segment(name: Column) -> Column:
     return F.when(cut == "", "unnamed").otherwise(cut)
 
 
+#: What a secret's name contains, and what stands for its value (in a query: percent-encoded).
+_SECRET = "secret|password|token|api_key"
+REDACTED, REDACTED_IN_QUERY = "<redacted>", "%3Credacted%3E"
+
+
 def redacted(key: Column, value: Column) -> Column:
-    """The value, hidden where its key names a secret."""
-    return F.when(F.lower(key).rlike("secret|password|token|api_key"), "[redacted]").otherwise(value)
+    """The value, hidden where its key names a secret; null stays null. URIs are hidden in part."""
+    shown = F.when(F.contains(value, F.lit("://")), redacted_uri(value)).otherwise(value)
+    return F.when(F.lower(key).rlike(_SECRET) & value.isNotNull(), REDACTED).otherwise(shown)
 
 
 def redacted_uri(uri: Column) -> Column:
     """A URI without user information and with secret query values hidden."""
     bare = F.regexp_replace(uri, r"^([A-Za-z][A-Za-z0-9+.-]*://)[^/@?#]*@", "$1")
-    return F.regexp_replace(bare, r"(?i)([?&][^=&#]*(?:secret|password|token|api_key|key|signature)[^=&#]*=)[^&#]*", "$1[redacted]")
+    return F.regexp_replace(bare, rf"(?i)([?&][^=&#]*(?:{_SECRET})[^=&#]*=)[^&#]*", f"$1{REDACTED_IN_QUERY}")

@@ -145,8 +145,8 @@ def ranking(metrics: DataFrame, comparable: bool = True) -> DataFrame:
 
 
 def suite_accuracy(rows: DataFrame) -> DataFrame:
-    """Accuracy by suite and overall (suite null) in one pass of grouping sets."""
-    return rows.rollup("suite").agg(F.count("*").alias("n"), F.avg(F.col("correct").cast("double")).alias("accuracy"))
+    """Accuracy by suite and overall in one pass of grouping sets; ``overall`` tells the total from a null suite."""
+    return rows.rollup("suite").agg((F.grouping("suite") == 1).alias("overall"), F.count("*").alias("n"), F.avg(F.col("correct").cast("double")).alias("accuracy"))
 
 
 def deltas(baseline: DataFrame, trained: DataFrame) -> DataFrame:

@@ -5,15 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.checks import require_none
 from marlstone.functions.text import evidence_text
 
 
-def lookup(items: DataFrame) -> DataFrame:
-    """evidence_id, text, content_sha256; rows without an id are skipped (first text by hash if they conflict)."""
-    own = items.select(
+def texts(items: DataFrame) -> DataFrame:
+    """(evidence_id, text) of the rows that have an id, under any of the usual names."""
+    return items.select(
         F.coalesce(*[F.col(c) for c in ("evidence_id", "id") if c in items.columns]).cast("string").alias("evidence_id"),
         evidence_text(*[F.col(c) for c in ("text", "content", "chunk_text", "normalized_text") if c in items.columns]).alias("text"),
     ).where("evidence_id is not null")
+
+
+def checked_lookup(wanted: DataFrame, items: DataFrame) -> DataFrame:
+    """Stored values of ``wanted`` keys (evidence_id); a key that isn't stored is an error."""
+    met = wanted.select("evidence_id").distinct().join(items, "evidence_id", "left")
+    require_none(met.where("content_sha256 is null").select("evidence_id"), "evidence that isn't stored")
+    return met
+
+
+def lookup(items: DataFrame) -> DataFrame:
+    """evidence_id, text, content_sha256; rows without an id are skipped (first text by hash if they conflict)."""
+    own = texts(items)
     return own.withColumn("content_sha256", F.sha2("text", 256)).groupBy("evidence_id").agg(F.min_by("text", "content_sha256").alias("text"), F.min("content_sha256").alias("content_sha256"))
 
 

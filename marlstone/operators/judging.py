@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marlstone.functions.text import stripped
+
 #: Dimensions, decisions and sufficiency grades of a judgment.
 DIMENSIONS = ("reference_correctness", "evidence_faithfulness", "completeness", "relevance", "instruction_following", "format_validity")
 DECISIONS = ("candidate_better", "baseline_better", "tie", "unjudgeable")
@@ -28,22 +30,22 @@ def _number(path: str, v: Column) -> Column:
 def judgment_error(response: Column) -> Column:
     """Why a judge's JSON text is invalid (the first reason in a fixed order), or null."""
     v = F.try_parse_json(response)
-    reasons = [F.when(v.isNull() | (_kind("$", v) != "OBJECT") | _kind("$", v).isNull(), "judge response must be a JSON object")]
+    reasons = [F.when(v.isNull() | (_kind("$", v) != "OBJECT") | _kind("$", v).isNull(), "response: not a JSON object")]
     for side in ("baseline", "candidate"):
-        reasons.append(F.when(~F.coalesce(_kind(f"$.{side}", v) == "OBJECT", F.lit(False)), f"judge response requires {side} scores"))
+        reasons.append(F.when(~F.coalesce(_kind(f"$.{side}", v) == "OBJECT", F.lit(False)), f"{side}: no scores"))
         for d in DIMENSIONS:
             n = _number(f"$.{side}.{d}", v)
-            reasons += [F.when(n.isNull(), f"{side}.{d} must be numeric"), F.when(~n.between(0, 1), f"{side}.{d} must be in [0, 1]")]
+            reasons += [F.when(n.isNull(), f"{side}.{d}: not a number"), F.when(~n.between(0, 1), f"{side}.{d}: not a share")]
     text = lambda p: F.when(_kind(p, v) == "STRING", F.try_variant_get(v, p, "string"))
     bad = lambda c: ~F.coalesce(c, F.lit(False))
     confidence = _number("$.confidence", v)
     reasons += [
-        F.when(bad(text("$.decision").isin(*DECISIONS)), "judge decision is invalid"),
-        F.when(bad(confidence.between(0, 1)), "judge confidence must be in [0, 1]"),
-        F.when(bad(_kind("$.regression", v) == "BOOLEAN"), "judge regression must be boolean"),
-        F.when(bad(F.trim(text("$.rationale")) != ""), "judge rationale must be a non-empty string"),
-        F.when(_kind("$.failure_categories", v) != "ARRAY", "failure_categories must be a list"),
-        F.when(bad(text("$.evidence_sufficiency").isin(*SUFFICIENCY)), "evidence_sufficiency is invalid"),
+        F.when(bad(text("$.decision").isin(*DECISIONS)), "decision: unknown"),
+        F.when(bad(confidence.between(0, 1)), "confidence: not a share"),
+        F.when(bad(_kind("$.regression", v) == "BOOLEAN"), "regression: not a boolean"),
+        F.when(bad(stripped(text("$.rationale")) != ""), "rationale: empty"),
+        F.when(_kind("$.failure_categories", v) != "ARRAY", "failure_categories: not a list"),
+        F.when(bad(text("$.evidence_sufficiency").isin(*SUFFICIENCY)), "evidence_sufficiency: unknown"),
     ]
     return F.coalesce(*reasons)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marlstone.functions.text import is_blank, stripped
+
 #: Keys that move into metadata unless it has them.
 PROMOTED = ("research_role", "training_eligible", "evaluation_set_id", "evaluation_set_version", "source_record_id", "source_reference_id", "fact_group_id", "knowledge_unit_id", "variant_id", "record_provenance", "source_evidence")
 #: Spellings of the evaluation split, and the roles of messages.
@@ -13,7 +15,7 @@ ROLES = ("system", "user", "assistant")
 
 
 def cleaned_split(split: Column) -> Column:
-    return F.lower(F.trim(F.coalesce(split.cast("string"), F.lit(""))))
+    return F.lower(stripped(F.coalesce(split.cast("string"), F.lit(""))))
 
 
 def normalize_split(split: Column) -> Column:
@@ -26,21 +28,26 @@ def with_metadata(df: DataFrame) -> DataFrame:
     """Records with the split normalised and the roles of legacy splits filled in.
 
     Promoted keys are read as columns ``meta_<key>`` (from metadata) over ``<key>`` (top level).
+    ``meta_keys`` and ``top_keys`` (arrays) say which keys were there; a key that is there with
+    null keeps its null, and no default takes its place. Without these arrays null is absent.
     """
     s = cleaned_split(F.col("split"))
     legacy = s.isin("validation", "test")
 
-    def promoted(key: str) -> Column:
-        found = [F.col(c) for c in (f"meta_{key}", key) if c in df.columns]
-        return F.coalesce(*found) if found else F.lit(None)
+    def promoted(key: str, kind: str, default: Column | None = None) -> Column:
+        value = F.lit(None) if default is None else default
+        for column, keys in ((key, "top_keys"), (f"meta_{key}", "meta_keys")):
+            if column in df.columns:
+                there = F.coalesce(F.array_contains(keys, key), F.lit(False)) if keys in df.columns else F.col(column).isNotNull()
+                value = F.when(there, F.col(column).cast(kind)).otherwise(value)
+        return value
 
-    role = F.coalesce(promoted("research_role").cast("string"), F.when(legacy, F.concat(F.lit("legacy_"), s)))
-    eligible = F.coalesce(promoted("training_eligible").cast("boolean"), F.when(legacy, F.lit(False)))
-    own = df.withColumn("original_split", F.when(legacy, s)).withColumn("research_role", role).withColumn("training_eligible", eligible)
-    for key in PROMOTED[2:]:
-        if f"meta_{key}" in df.columns:
-            own = own.withColumn(key, promoted(key))
-    return own.withColumn("split", normalize_split(F.col("split"))).drop(*[f"meta_{k}" for k in PROMOTED])
+    made = {"original_split": promoted("original_split", "string", F.when(legacy, s)) if "meta_original_split" in df.columns else F.when(legacy, s)}
+    made["research_role"] = promoted("research_role", "string", F.when(legacy, F.concat(F.lit("legacy_"), s)))
+    made["training_eligible"] = promoted("training_eligible", "boolean", F.when(legacy, F.lit(False)))
+    made |= {key: promoted(key, "string") for key in PROMOTED[2:] if f"meta_{key}" in df.columns}
+    own = df.withColumns({**made, "split": normalize_split(F.col("split"))})
+    return own.drop(*[f"meta_{k}" for k in (*PROMOTED, "original_split")], "meta_keys", "top_keys")
 
 
 def normalize_messages(messages: Column, question: Column, answer: Column) -> Column:
@@ -51,8 +58,8 @@ def normalize_messages(messages: Column, question: Column, answer: Column) -> Co
 
 def messages_error(messages: Column) -> Column:
     """Why a message list is invalid, or null."""
-    blank = F.exists(messages, lambda m: F.trim(F.coalesce(m["content"], F.lit(""))) == "")
-    bad_role = F.exists(messages, lambda m: ~F.coalesce(m["role"].isin(*ROLES), F.lit(False)))
+    blank = F.exists(messages, lambda m: is_blank(m["content"]))
+    bad_role = F.exists(messages, lambda m: ~F.coalesce(stripped(m["role"]).isin(*ROLES), F.lit(False)))
     no_answer = ~F.exists(messages, lambda m: m["role"] == "assistant")
     return F.when(bad_role, "unsupported role").when(blank, "blank content").when(no_answer, "no assistant message")
 
@@ -104,6 +111,30 @@ def suite_counts(df: DataFrame) -> DataFrame:
     return evaluation_records(df).groupBy(F.coalesce("research_role", F.lit("legacy_evaluation")).alias("suite")).agg(F.count("*").alias("n"))
 
 
+def read_problems(df: DataFrame, sources: dict[int, dict]) -> DataFrame:
+    """What a reader must not pass on, as rows (rule, source_ordinal, record_id).
+
+    ``sources`` has for each evaluation source (by ordinal) its declared ``research_role`` and
+    ``record_count``. Rules: ids that occur twice in all sources, records of an evaluation
+    source that could be trained on or have another role, and counts that differ.
+    """
+    at = F.col("source_ordinal")
+    rule = lambda name, rows: rows.select(F.lit(name).alias("rule"), F.col("source_ordinal").cast("int").alias("source_ordinal"), F.col("record_id").cast("string").alias("record_id"))
+    twice = df.where("record_id is not null").groupBy("record_id").agg(F.count("*").alias("n"), F.max("source_ordinal").alias("source_ordinal")).where("n > 1")
+    out = rule("duplicate_record_id", twice)
+    if not sources:
+        return out
+    declared = F.create_map(*[F.lit(x) for k, v in sources.items() for x in (k, v.get("research_role"))])
+    counts = F.create_map(*[F.lit(x) for k, v in sources.items() for x in (k, int(v.get("record_count", -1)))])
+    held = df.where(at.isin(*sources))
+    frozen = (F.col("split") == "evaluation") & F.col("training_eligible").eqNullSafe(False)
+    out = out.union(rule("evaluation_record_trainable", held.where(~F.coalesce(frozen, F.lit(False)))))
+    out = out.union(rule("evaluation_role_differs", held.where(~F.col("research_role").eqNullSafe(F.try_element_at(declared, at)))))
+    wanted = df.sparkSession.createDataFrame([(k,) for k in sources], "source_ordinal int")
+    seen = wanted.join(held.groupBy("source_ordinal").agg(F.count("*").alias("n")), "source_ordinal", "left").fillna(0, ["n"])
+    return out.union(rule("record_count_differs", seen.where(F.col("n") != F.try_element_at(counts, at)).withColumn("record_id", F.lit(None))))
+
+
 def statistics(df: DataFrame) -> DataFrame:
     """Totals and the suite counts as a map, one row."""
     totals = df.agg(F.count("*").alias("total_records"), F.count_if(is_trainable()).alias("training_records"), F.count_if(~is_trainable()).alias("evaluation_records"))
@@ -179,11 +210,52 @@ def masked_labels(ids: Column, mask: Column) -> Column:
 
 
 def prefix_labels(prefix_lengths: Column, roles: Column, ids: Column) -> Column:
-    """Labels when turn k added the tokens from prefix k-1 to prefix k: assistant turns only."""
+    """Labels when turn k added the tokens from prefix k-1 to prefix k: assistant turns only, and never the first turn."""
     start = lambda k: F.when(k > 0, F.get(prefix_lengths, k - 1)).otherwise(0)
     return F.flatten(
         F.transform(
             roles,
-            lambda r, k: F.when(r == "assistant", F.slice(ids, start(k) + 1, F.get(prefix_lengths, k) - start(k))).otherwise(F.array_repeat(F.lit(-100), F.get(prefix_lengths, k) - start(k))),
+            lambda r, k: F.when((r == "assistant") & (k > 0), F.slice(ids, start(k) + 1, F.get(prefix_lengths, k) - start(k))).otherwise(F.array_repeat(F.lit(-100), F.get(prefix_lengths, k) - start(k))),
         )
     )
+
+
+def rewritten_prefix(prefixes: Column) -> Column:
+    """Whether some rendered prefix (an array of token arrays) doesn't begin with the one before."""
+    return F.exists(F.sequence(F.lit(1), F.size(prefixes) - 1), lambda k: F.slice(F.get(prefixes, k), F.lit(1), F.size(F.get(prefixes, k - 1))) != F.get(prefixes, k - 1)) & (F.size(prefixes) > 1)
+
+
+def label_error(ids: Column, labels: Column, max_length: int | None = None) -> Column:
+    """Why an encoded example can't be trained on, or null."""
+    long = F.lit(False) if max_length is None else F.size(ids) > max_length
+    return (
+        F.when(F.size(ids) != F.size(labels), "lengths differ")
+        .when(~F.exists(labels, lambda x: x != -100), "no target tokens")
+        .when(long, "too long")
+    )
+
+
+def encoded_examples(df: DataFrame, encode, max_length: int | None = None) -> DataFrame:
+    """input_ids, labels and ``error`` of each record's ``messages`` by a tokenizer callable.
+
+    ``encode`` maps a list of {role, content} to (token ids, assistant mask), or to the token ids
+    of every prefix where it knows no mask; it runs in batches on the executors. With prefixes a
+    turn's tokens are what it added, and a rewritten prefix is an error.
+    """
+    schema = "array<struct<ids: array<int>, mask: array<int>>>"
+
+    @F.udf(schema)
+    def rendered(messages):
+        made = encode([{"role": m["role"], "content": m["content"]} for m in messages])
+        if isinstance(made, tuple):
+            return [(list(made[0]), [int(bool(x)) for x in made[1]])]
+        return [(list(p), None) for p in made]
+
+    own = df.withColumn("_r", rendered("messages"))
+    last = F.element_at("_r", -1)
+    prefixes = F.transform("_r", lambda x: x["ids"])
+    by_prefix = prefix_labels(F.transform("_r", lambda x: F.size(x["ids"])), F.transform("messages", lambda m: m["role"]), last["ids"])
+    labels = F.when(last["mask"].isNotNull(), masked_labels(last["ids"], last["mask"])).otherwise(by_prefix)
+    rewritten = F.when(last["mask"].isNull() & rewritten_prefix(prefixes), "prefix rewritten")
+    out = own.withColumn("input_ids", last["ids"]).withColumn("labels", labels)
+    return out.withColumn("error", F.coalesce(rewritten, label_error(F.col("input_ids"), F.col("labels"), max_length))).drop("_r")

@@ -10,24 +10,48 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.functions.numbers import nearest_rank
-
 
 def _by_time(device: str = "device", *ties: str):
     return Window.partitionBy(device).orderBy("t", *ties)
 
 
+def ranked_values(df: DataFrame, value: str, ranks: Mapping[str, Column], *keys: str) -> DataFrame:
+    """The values at zero-based ranks of each key's sorted values, one column a rank, exactly.
+
+    ``ranks`` are expressions of ``n``, the key's count. Counts by buckets of nearly equal values
+    find the bucket of each rank; only values of such buckets are counted one by one. So no key's
+    values come together in an array or a task. Nulls in ``value`` are left out.
+    """
+    v = F.col(value).cast("double")
+    key = F.struct(*[F.col(k) for k in keys], F.lit(0).alias("_"))  # nulls are equal inside a struct
+    size = F.floor(F.log2(F.abs(v)) * 64).cast("long") + 100_000
+    bucket = F.when(v == 0, 0).when(v > 0, size).otherwise(-size)
+    own = df.where(v.isNotNull()).select(key.alias("k"), bucket.alias("b"), v.alias("v"))
+    buckets = own.groupBy("k", "b").agg(F.count("*").alias("m"))
+    total = buckets.groupBy("k").agg(F.sum("m").alias("n"))
+    wanted = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), r.cast("long").alias("rank")) for name, r in ranks.items()]))
+    before = F.sum("m").over(Window.partitionBy("k").orderBy("b")) - F.col("m")
+    met = buckets.withColumn("before", before).join(total.select("k", wanted.alias("w")), "k").where("w.rank >= before and w.rank < before + m")
+    picked = met.select("k", "b", F.col("w.name").alias("name"), (F.col("w.rank") - F.col("before")).alias("at"))
+    values = own.join(picked.select("k", "b").distinct(), ["k", "b"], "left_semi").groupBy("k", "b", "v").agg(F.count("*").alias("c"))
+    passed = F.sum("c").over(Window.partitionBy("k", "b").orderBy("v"))
+    found = values.withColumn("passed", passed).join(picked, ["k", "b"]).where("at < passed and at >= passed - c")
+    out = found.groupBy("k").agg(*[F.max(F.when(F.col("name") == name, F.col("v"))).alias(name) for name in ranks])
+    return out.select(*[F.col("k")[k].alias(k) for k in keys], *ranks)
+
+
 def latency_summary(df: DataFrame, seconds: str, *keys: str) -> DataFrame:
     """Count, mean, extremes, true median and half-even nearest-rank p95 and p99, in ms."""
-    own = df.groupBy(*keys).agg(
-        F.count(seconds).alias("sample_count"),
-        (F.avg(seconds) * 1000).alias("average_ms"),
-        (F.min(seconds) * 1000).alias("minimum_ms"),
-        (F.percentile(seconds, 0.5) * 1000).alias("median_ms"),
-        F.array_sort(F.collect_list(F.col(seconds) * 1000)).alias("_sorted"),
-        (F.max(seconds) * 1000).alias("maximum_ms"),
-    )
-    return own.withColumn("p95_ms", nearest_rank(F.col("_sorted"), 0.95)).withColumn("p99_ms", nearest_rank(F.col("_sorted"), 0.99)).drop("_sorted")
+    last = F.col("n") - 1
+    ranks = {"_low": F.floor(last / 2), "_high": F.ceil(last / 2), "p95": F.rint(last * 0.95), "p99": F.rint(last * 0.99)}
+    at = ranked_values(df, seconds, ranks, *keys)
+    own = df.groupBy(*keys).agg(F.count(seconds).alias("sample_count"), (F.avg(seconds) * 1000).alias("average_ms"), (F.min(seconds) * 1000).alias("minimum_ms"), (F.max(seconds) * 1000).alias("maximum_ms"))
+    same = [own[k].eqNullSafe(at[k]) for k in keys] or [F.lit(True)]  # without keys one row on either side
+    met = own.join(at, same, "left").select(own["*"], "_low", "_high", "p95", "p99")
+    return met.select(
+        *keys, "sample_count", "average_ms", "minimum_ms", ((F.col("_low") + F.col("_high")) / 2 * 1000).alias("median_ms"),
+        (F.col("p95") * 1000).alias("p95_ms"), (F.col("p99") * 1000).alias("p99_ms"), "maximum_ms",
+    )
 
 
 def energy(df: DataFrame, watts: str = "watts", *ties: str) -> DataFrame:
@@ -94,6 +118,47 @@ def breaches(df: DataFrame, limits: Mapping[str, float | None]) -> DataFrame:
     return df.select(*others, F.explode(checks).alias("b")).select(*others, "b.*").where("value >= limit")
 
 
+def timeouts(df: DataFrame, limits: Mapping[str, float | None], no_step: float | None = None) -> DataFrame:
+    """(key, value, limit) where a phase has lasted its limit, and where training made no step for ``no_step`` seconds.
+
+    Columns read: phase, phase_seconds, and seconds_since_step (null: none to wait for). A phase
+    without a limit, or with a null one, can't time out.
+    """
+    on = {k: v for k, v in limits.items() if v is not None}
+    limit = F.coalesce(*[F.when(F.col("phase") == k, F.lit(float(v))) for k, v in on.items()], F.lit(None).cast("double"))
+    one = lambda ok, key, value, most: F.when(ok, F.struct(F.lit(key).alias("key") if isinstance(key, str) else key.alias("key"), value.cast("double").alias("value"), most.alias("limit")))
+    found = [one(F.col("phase_seconds") >= limit, F.concat("phase", F.lit("_timeout_seconds")), F.col("phase_seconds"), limit)]
+    if no_step is not None:
+        late = (F.col("phase") == "training") & (F.col("seconds_since_step") >= no_step)
+        found.append(one(late, "no_step_progress_timeout_seconds", F.col("seconds_since_step"), F.lit(float(no_step))))
+    others = [c for c in df.columns if c not in ("key", "value", "limit")]
+    return df.select(*others, F.explode(F.array_compact(F.array(*found))).alias("b")).select(*others, "b.*")
+
+
+def step_progress(df: DataFrame, now: Column, *ties: str) -> DataFrame:
+    """Per device: the last completed step, the longest pause between steps, and seconds since the last.
+
+    Columns read: t and step (null where a sample is no step).
+    """
+    steps = df.where("step is not null")
+    w = _by_time("device", *ties)
+    gaps = steps.withColumn("gap", F.col("t") - F.lag("t").over(w))
+    order = F.struct("t", *ties)
+    return gaps.groupBy("device").agg(
+        F.max_by("step", order).alias("completed_step"), F.coalesce(F.max("gap"), F.lit(0.0)).alias("longest_step_seconds"), (now - F.max("t")).alias("seconds_since_step")
+    )
+
+
+def device_peaks(df: DataFrame) -> DataFrame:
+    """Peaks over time of what a trial's devices show: shares and temperature by device, power as their sum."""
+    by_time = df.groupBy("t").agg(
+        F.max("memory_used_percent").alias("m"), F.max("utilization_percent").alias("u"), F.max("temperature_celsius").alias("c"), F.sum("power_draw_watts").alias("p"), F.max("ram_used_percent").alias("r")
+    )
+    return by_time.agg(
+        F.max("m").alias("gpu_memory_peak_percent"), F.max("u").alias("gpu_utilization_peak_percent"), F.max("c").alias("gpu_temperature_peak_celsius"), F.max("p").alias("gpu_power_peak_watts"), F.max("r").alias("system_ram_peak_percent")
+    )
+
+
 def sustained(df: DataFrame, over: Column, seconds: float, *ties: str) -> DataFrame:
     """First time at which a device has been ``over`` without a break for ``seconds``."""
     w = _by_time("device", *ties)
@@ -128,3 +193,11 @@ def throughput(df: DataFrame) -> DataFrame:
     """Per-second counters; null before any time has passed."""
     per = lambda c: F.when(F.col("elapsed") > 0, F.col(c) / F.col("elapsed")).alias(f"{c}_per_second")
     return df.select("*", per("steps"), per("examples"), per("tokens"))
+
+
+def live_metrics(df: DataFrame, scope: str = "live") -> DataFrame:
+    """(step, name, value): progress counters and rates as metric events, nulls left out."""
+    own = throughput(df)
+    names = [c for c in own.columns if c not in ("step", "device", "t") and dict(own.dtypes)[c] in ("int", "bigint", "double", "float")]
+    entries = F.array(*[F.struct(F.lit(f"{scope}.{c}").alias("name"), F.col(c).cast("double").alias("value")) for c in names])
+    return own.select("step", F.explode(entries).alias("m")).select("step", "m.*").where("value is not null")

@@ -58,7 +58,7 @@ def energy_skip_zero(spark, sf_dir):
     return tele.energy_of_active(V.samples(spark, sf_dir), "watts", "event_id").withColumn("joules", F.round("joules", 2))
 
 
-@query(f"""WITH {V.SAMPLES_SQL} SELECT device, event_id, round(coalesce(greatest(0.0, value - lag(value) OVER w) / greatest(t - lag(t) OVER w, 1e-9), 0), 4) AS rate FROM samples WHERE event_id % 2 = 0 WINDOW w AS (PARTITION BY device ORDER BY t, event_id)""")
+@query(f"""WITH {V.SAMPLES_SQL} SELECT device, event_id, round(coalesce(greatest(0.0, value - lag(value) OVER w) / greatest(t - lag(t) OVER w, 1e-9), 0), 4) AS rate FROM samples WINDOW w AS (PARTITION BY device ORDER BY t, event_id)""")
 def growth_rates(spark, sf_dir):
     return tele.rates(V.samples(spark, sf_dir), "value", "event_id").select("device", "event_id", F.round("rate", 4).alias("rate"))
 
@@ -219,7 +219,7 @@ def capacity_dataset(spark, sf_dir):
 @query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
 def stream_hourly(spark, sf_dir):
     """The streaming hourly aggregate, run to the end of the table."""
-    out = live.run_to_end(live.hourly(live.event_stream(spark, sf_dir)), "complete", "stream_hourly")
+    out = live.run_to_end(live.hourly(live.event_stream(spark, sf_dir)), "update", "stream_hourly", ("n", "total"))
     return out.select(F.col("hour").cast("timestamp_ntz").alias("hour"), "event_type", "n", F.round("total", 2).alias("total"))
 
 

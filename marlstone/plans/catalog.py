@@ -57,9 +57,11 @@ def suite_counts(spark, sf_dir):
     return records.suite_counts(_records(spark, sf_dir))
 
 
-@query(f"WITH {V.RECORDS_SQL} SELECT count(*) AS total_records, count(*) FILTER (WHERE trainable) AS training_records, count(*) FILTER (WHERE NOT trainable) AS evaluation_records FROM records")
+@query(f"""WITH {V.RECORDS_SQL}, s AS (SELECT coalesce(research_role, 'legacy_evaluation') AS suite, count(*) AS n FROM records WHERE NOT trainable GROUP BY 1)
+SELECT count(*) AS total_records, count(*) FILTER (WHERE trainable) AS training_records, count(*) FILTER (WHERE NOT trainable) AS evaluation_records, (SELECT string_agg(suite || '=' || n, ',' ORDER BY suite) FROM s) AS suites FROM records""")
 def dataset_statistics(spark, sf_dir):
-    return records.statistics(_records(spark, sf_dir)).drop("suites")
+    entries = F.array_sort(F.transform(F.map_entries("suites"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))))
+    return records.statistics(_records(spark, sf_dir)).withColumn("suites", F.array_join(entries, ","))
 
 
 @query(f"WITH {V.RECORDS_SQL} SELECT record_id, line_number FROM records WHERE trainable AND n_tokens <= 3000 ORDER BY line_number LIMIT 25")
@@ -95,9 +97,9 @@ def last_turn_pairs(spark, sf_dir):
     return V.records(spark, sf_dir).select("record_id", records.last_message(m, "user").alias("question"), records.last_message(m, "assistant").alias("answer"))
 
 
-@query("SELECT CAST(conv_id AS VARCHAR) AS record_id, CAST(sum(length(text)) AS BIGINT) AS n_ids, CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS n_labels FROM conversations GROUP BY conv_id")
+@query("SELECT CAST(conv_id AS VARCHAR) AS record_id, CAST(sum(length(text)) AS BIGINT) AS n_ids, CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant' AND k > 1), 0) AS BIGINT) AS n_labels FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations) GROUP BY conv_id")
 def message_mask_lengths(spark, sf_dir):
-    """Code points as tokens; labels only for what assistant turns added."""
+    """Code points as tokens; labels only for what assistant turns after the first turn added."""
     r = V.records(spark, sf_dir)
     joined = F.aggregate("messages", F.lit(""), lambda a, m: F.concat(a, m["content"]))
     ends = F.transform("messages", lambda _, i: F.aggregate(F.slice("messages", F.lit(1), i + 1), F.lit(0), lambda n, m: n + F.char_length(m["content"])))
@@ -126,11 +128,11 @@ def training_counters(spark, sf_dir):
 # --- predictions -----------------------------------------------------------------------------
 
 
-@query(f"WITH {V.PREDICTIONS_SQL} SELECT record_id, md5(baseline_answer) AS baseline_md5, md5(candidate_answer) AS candidate_md5, has_baseline, has_candidate, baseline_duplicate, candidate_duplicate FROM pairs WHERE candidate_id = 'cand-0'")
+@query(f"WITH {V.PREDICTIONS_SQL} SELECT candidate_id, record_id, md5(baseline_answer) AS baseline_md5, md5(candidate_answer) AS candidate_md5, has_baseline, has_candidate, baseline_duplicate, candidate_duplicate FROM pairs")
 def pair_full_outer(spark, sf_dir):
-    p = V.predictions(spark, sf_dir).where("candidate_id = 'cand-0'")
+    p = V.predictions(spark, sf_dir)
     out = pairing.pair_full_outer(p.where("side = 'baseline'"), p.where("side = 'candidate'"))
-    return out.select("record_id", F.md5("baseline_answer").alias("baseline_md5"), F.md5("candidate_answer").alias("candidate_md5"), "has_baseline", "has_candidate", "baseline_duplicate", "candidate_duplicate")
+    return out.select("candidate_id", "record_id", F.md5("baseline_answer").alias("baseline_md5"), F.md5("candidate_answer").alias("candidate_md5"), "has_baseline", "has_candidate", "baseline_duplicate", "candidate_duplicate")
 
 
 @query(f"WITH {V.PREDICTIONS_SQL} SELECT candidate_id, record_id, md5(baseline_answer) AS baseline_md5, md5(candidate_answer) AS candidate_md5, has_baseline, has_candidate FROM pairs")
@@ -180,24 +182,23 @@ def det_integrity_warnings(spark, sf_dir):
     return p.select("candidate_id", "record_id", F.array_join(w, ",").alias("warnings"))
 
 
-@query(r"""SELECT doc_id, CAST(len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_\s]')) AS BIGINT) AS n_tokens, CAST(length(text) AS BIGINT) AS n_characters, CAST(greatest(1, length(text) // 3) + 512 AS BIGINT) AS budget
-  FROM documents WHERE NOT regexp_matches(text, '[^\x00-\x7F]')""")
+@query(r"""SELECT doc_id, CAST(len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]')) AS BIGINT) AS n_tokens,
+  CAST(length(text) AS BIGINT) AS n_characters, CAST(greatest(1, length(text) // 3) + 512 AS BIGINT) AS budget FROM documents""")
 def token_estimates(spark, sf_dir):
-    """Over all texts (the SQL has those of ASCII alone)."""
     d = V.table(spark, sf_dir, "documents")
     return d.select("doc_id", text.token_estimate(F.col("text")).alias("n_tokens"), text.characters(F.col("text")).alias("n_characters"), text.char_budget_tokens(F.char_length("text")).alias("budget"))
 
 
-@query()
+@query("""SELECT event_id, CASE event_id % 4 WHEN 1 THEN json_valid(props) WHEN 2 THEN json_valid(props) AND json_type(CASE WHEN json_valid(props) THEN props END) = 'OBJECT' WHEN 3 THEN trim(props) <> '' END AS valid FROM events""")
 def format_validity(spark, sf_dir):
     e = V.table(spark, sf_dir, "events")
     need = F.when(F.col("event_id") % 4 == 0, F.lit(None)).when(F.col("event_id") % 4 == 1, "json").when(F.col("event_id") % 4 == 2, "json_object").otherwise("text")
     return e.select("event_id", canon.format_valid(F.col("props"), need).alias("valid"))
 
 
-@query(f"SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON d.doc_id % 5 = b.item_id % 5 WHERE contains({norm('d.text')}, {norm('b.text')})")
+@query(f"WITH d AS (SELECT doc_id, {norm('text')} AS t FROM documents), b AS (SELECT item_id, {norm('text')} AS t FROM benchmark) SELECT doc_id, item_id FROM d, b WHERE b.t <> '' AND contains(d.t, b.t)")
 def answer_containment(spark, sf_dir):
-    """Every document against every item (the SQL pairs only equal ids mod 5)."""
+    """Every document against every item."""
     return containment.contained(V.table(spark, sf_dir, "documents"), V.table(spark, sf_dir, "benchmark"))
 
 
@@ -249,9 +250,10 @@ def evidence_summary(spark, sf_dir):
     return evidence.summary(own)
 
 
-@query("SELECT CAST(item_id % 50 AS VARCHAR) AS evidence_id, CAST(count(DISTINCT sha256(text)) AS BIGINT) AS contents FROM benchmark GROUP BY 1 HAVING count(DISTINCT sha256(text)) > 1")
+@query("SELECT CAST(item_id % 7 AS VARCHAR) AS evidence_id, CAST(count(DISTINCT sha256(text)) AS BIGINT) AS contents FROM benchmark GROUP BY 1 HAVING count(DISTINCT sha256(text)) > 1")
 def evidence_conflicts(spark, sf_dir):
-    b = V.table(spark, sf_dir, "benchmark").select((F.col("item_id") % 50).cast("string").alias("evidence_id"), "text")
+    """Items under too few ids, so that ids come with different contents."""
+    b = V.table(spark, sf_dir, "benchmark").select((F.col("item_id") % 7).cast("string").alias("evidence_id"), "text")
     return evidence.conflicting(b)
 
 
@@ -268,8 +270,8 @@ def _judge_json(spark, sf_dir):
     return j.select("doc_id", F.when(F.col("doc_id") % 9 == 6, "[1]").when(F.col("doc_id") % 9 == 7, "{").otherwise(body).alias("response"))
 
 
-@query("""SELECT doc_id, CASE doc_id % 9 WHEN 0 THEN 'baseline.reference_correctness must be in [0, 1]' WHEN 1 THEN 'baseline.reference_correctness must be numeric' WHEN 2 THEN 'judge decision is invalid' WHEN 3 THEN 'judge regression must be boolean'
-  WHEN 4 THEN 'judge confidence must be in [0, 1]' WHEN 5 THEN 'judge rationale must be a non-empty string' WHEN 6 THEN 'judge response must be a JSON object' WHEN 7 THEN 'judge response must be a JSON object' END AS error FROM labels""")
+@query("""SELECT doc_id, CASE doc_id % 9 WHEN 0 THEN 'baseline.reference_correctness: not a share' WHEN 1 THEN 'baseline.reference_correctness: not a number' WHEN 2 THEN 'decision: unknown' WHEN 3 THEN 'regression: not a boolean'
+  WHEN 4 THEN 'confidence: not a share' WHEN 5 THEN 'rationale: empty' WHEN 6 THEN 'response: not a JSON object' WHEN 7 THEN 'response: not a JSON object' END AS error FROM labels""")
 def judge_validation(spark, sf_dir):
     return _judge_json(spark, sf_dir).select("doc_id", judging.judgment_error(F.col("response")).alias("error"))
 
@@ -356,10 +358,10 @@ def next_attempt(spark, sf_dir):
 
 @query("SELECT source AS suite, count(*) AS n, round(avg(quality), 9) AS accuracy FROM documents JOIN labels USING (doc_id) GROUP BY 1")
 def suite_accuracy(spark, sf_dir):
-    return suite_accuracy_rollup(spark, sf_dir).where("suite is not null")
+    return suite_accuracy_rollup(spark, sf_dir).where("not overall").drop("overall")
 
 
-@query("SELECT source AS suite, count(*) AS n, round(avg(quality), 9) AS accuracy FROM documents JOIN labels USING (doc_id) GROUP BY ROLLUP (source)")
+@query("SELECT source AS suite, grouping(source) = 1 AS overall, count(*) AS n, round(avg(quality), 9) AS accuracy FROM documents JOIN labels USING (doc_id) GROUP BY ROLLUP (source)")
 def suite_accuracy_rollup(spark, sf_dir):
     rows = V.table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("suite")).join(V.table(spark, sf_dir, "labels"), "doc_id").select("suite", F.col("quality").alias("correct"))
     return evalagg.suite_accuracy(rows).withColumn("accuracy", F.round("accuracy", 9))
@@ -419,7 +421,7 @@ def metric_flatten(spark, sf_dir):
     return metrics.metric_values(metrics.flattened(e.select("event_id", body.alias("body")), "event_id", "body"))
 
 
-@query(r"""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '[redacted]' ELSE url END AS value, 'https://host/p?token=[redacted]&page=' || page_id AS uri FROM pages""")
+@query(r"""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '<redacted>' ELSE url END AS value, 'https://host/p?token=%3Credacted%3E&page=' || page_id AS uri FROM pages""")
 def redaction(spark, sf_dir):
     p = V.table(spark, sf_dir, "pages")
     key = F.when(F.col("page_id") % 3 == 0, "db_password").otherwise("url")

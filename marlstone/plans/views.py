@@ -64,8 +64,8 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PREDICTIONS_SQL = """
 ids AS (SELECT unnest([0, 1]) AS c),
-base AS (SELECT c, CAST(doc_id AS VARCHAR) AS record_id, substring(text, 1, 200) AS answer, substring(text, 1, 200) AS expected, doc_id FROM documents JOIN labels USING (doc_id), ids),
-cand AS (SELECT c, CAST(doc_id AS VARCHAR) AS record_id, CASE WHEN doc_id % 3 = c THEN text ELSE ' ' || replace(substring(text, 1, 200), ' ', '  ') END AS answer, substring(text, 1, 200) AS expected, doc_id FROM documents, ids),
+base AS (SELECT c, CAST(doc_id AS VARCHAR) AS record_id, text AS answer, text AS expected, doc_id FROM documents JOIN labels USING (doc_id), ids),
+cand AS (SELECT c, CAST(doc_id AS VARCHAR) AS record_id, CASE WHEN doc_id % 3 = c THEN text || ' indeed' ELSE ' ' || replace(text, ' ', '  ') END AS answer, text AS expected, doc_id FROM documents, ids),
 pairs AS (SELECT 'cand-' || coalesce(b.c, k.c) AS candidate_id, coalesce(b.record_id, k.record_id) AS record_id, b.answer AS baseline_answer, k.answer AS candidate_answer,
   coalesce(k.expected, b.expected) AS expected, b.c IS NOT NULL AS has_baseline, k.c IS NOT NULL AS has_candidate,
   coalesce(b.doc_id % 10 = 0, FALSE) AS baseline_duplicate, coalesce(k.doc_id % 10 = 0, FALSE) AS candidate_duplicate

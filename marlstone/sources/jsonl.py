@@ -2,31 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions.canon import string_literal_checksum
+from marlstone.functions.text import is_blank, stripped
+from marlstone.operators.records import PROMOTED, normalize_messages
 
 RECORD_DDL = (
-    "record_id STRING, id STRING, split STRING, messages ARRAY<STRUCT<role: STRING, content: STRING>>, instruction STRING, prompt STRING, question STRING, output STRING, response STRING, gold_reference STRING, "
+    "record_id STRING, split STRING, messages ARRAY<STRUCT<role: STRING, content: STRING>>, instruction STRING, prompt STRING, question STRING, output STRING, response STRING, gold_reference STRING, "
     "metadata STRING, research_role STRING, training_eligible BOOLEAN, evaluation_set_id STRING, evaluation_set_version STRING, source_record_id STRING, source_reference_id STRING, fact_group_id STRING, knowledge_unit_id STRING, variant_id STRING, record_provenance STRING, source_evidence STRING"
 )
 
 
+def file_lines(spark: SparkSession, *paths: str) -> DataFrame:
+    """(source_uri, line_number, line) of the lines that aren't blank, read split by split.
+
+    Lines end at line feeds. Numbers count blank lines too: a line's place in its split, after
+    the lines of the file's earlier splits (one small row a split).
+    """
+    lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
+        F.col("_metadata.file_path").alias("source_uri"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("place")
+    )
+    blocks = lines.groupBy("source_uri", "block").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    earlier = F.sum("n").over(Window.partitionBy("source_uri").orderBy("block")) - F.col("n")
+    met = lines.join(blocks.withColumn("earlier", earlier).drop("n"), ["source_uri", "block"])
+    number = (F.col("place") - F.col("first") + F.col("earlier") + 1).cast("int")
+    return met.where(~is_blank(F.col("line"))).select("source_uri", number.alias("line_number"), "line")
+
+
 def whole_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """One row a file: source_uri and its text (line numbers need whole files)."""
+    """One row a file: source_uri and its text (for small documents)."""
     return spark.read.text(list(paths), wholetext=True).select(F.col("_metadata.file_path").alias("source_uri"), F.col("value").alias("text"))
 
 
 def numbered_lines(df: DataFrame, text: str, *keys: str) -> DataFrame:
     """Lines that aren't blank, with 1-based numbers that count the blank ones."""
     lines = df.select(*keys, F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    return lines.where("trim(line) <> ''").select(*keys, (F.col("pos") + 1).alias("line_number"), "line")
+    return lines.where(~is_blank(F.col("line"))).select(*keys, (F.col("pos") + 1).alias("line_number"), "line")
 
 
 def parsed(lines: DataFrame, ddl: str = RECORD_DDL) -> DataFrame:
     """Typed fields in ``r``, the raw line, and ``error`` (uri:line) where it is no JSON object."""
-    is_object = F.startswith(F.trim("line"), F.lit("{")) & F.try_parse_json("line").isNotNull()
+    is_object = F.startswith(stripped(F.col("line")), F.lit("{")) & F.try_parse_json("line").isNotNull()
     where = F.concat(F.col("source_uri"), F.lit(":"), F.col("line_number").cast("string"), F.lit(" must contain a JSON object"))
     return lines.select("*", F.when(is_object, F.from_json("line", ddl)).alias("r"), F.when(~is_object, where).alias("error"))
 
@@ -41,20 +59,20 @@ def records(spark: SparkSession, *sources: str) -> DataFrame:
 
     Lines that aren't objects come with ``error``; check it before use (checks.py).
     """
-    from marlstone.operators.records import normalize_messages
-
     out = None
     for ordinal, path in enumerate(sources):
-        one = parsed(numbered_lines(whole_files(spark, path), "text", "source_uri")).withColumn("source_ordinal", F.lit(ordinal))
+        one = parsed(file_lines(spark, path)).withColumn("source_ordinal", F.lit(ordinal))
         out = one if out is None else out.unionByName(one)
     nonblank = lambda *names: F.coalesce(*[F.nullif(F.col(f"r.{n}"), F.lit("")) for n in names])
-    meta = [F.get_json_object("r.metadata", f"$.{k}").alias(f"meta_{k}") for k in ("research_role", "training_eligible", "evaluation_set_id", "source_record_id", "knowledge_unit_id")]
+    meta = [F.get_json_object("r.metadata", f"$.{k}").alias(f"meta_{k}") for k in (*PROMOTED, "original_split")]
     return out.select(
-        F.coalesce("r.record_id", "r.id").alias("record_id"),
+        "r.record_id",
         "r.split",
         normalize_messages(F.col("r.messages"), nonblank("instruction", "prompt", "question"), nonblank("output", "response", "gold_reference")).alias("messages"),
-        *[F.col(f"r.{k}").alias(k) for k in ("research_role", "training_eligible", "evaluation_set_id", "source_record_id", "knowledge_unit_id")],
+        *[F.col(f"r.{k}").alias(k) for k in PROMOTED],
         *meta,
+        F.json_object_keys("line").alias("top_keys"),
+        F.json_object_keys("r.metadata").alias("meta_keys"),
         "source_ordinal",
         "source_uri",
         "line_number",

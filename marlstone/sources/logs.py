@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.text import strip_terminal_control
+from marlstone.functions.text import strip_terminal_control, stripped
+
+#: What the lines of a trial contain (a process may write a name before each).
+MARKERS = {"started": "TRAINING_STARTED", "training_completed": "TRAINING_COMPLETED", "completed": "TRIAL_COMPLETED", "failed": "TRIAL_FAILED", "model_loaded": "MODEL_LOADED", "reused": "MODEL_LOADED reused"}
 
 
 def split_output(df: DataFrame, value: str, *keys: str) -> DataFrame:
@@ -14,12 +19,11 @@ def split_output(df: DataFrame, value: str, *keys: str) -> DataFrame:
     return rows.where("line <> ''")
 
 
-def step_events(df: DataFrame, line: str = "line") -> DataFrame:
-    """step / of_steps from ``step N/M`` and the markers a line carries."""
-    clean = strip_terminal_control(F.col(line))
-    number = lambda k: F.regexp_extract(clean, r"step\s+(\d+)\s*/\s*(\d+)", k).try_cast("int")
-    marks = {"started": "TRIAL_STARTED", "completed": "TRIAL_COMPLETED", "model_loaded": "MODEL_LOADED", "failed": "TRIAL_FAILED"}
-    return df.select("*", number(1).alias("step"), number(2).alias("of_steps"), *[F.contains(clean, F.lit(m)).alias(k) for k, m in marks.items()], F.contains(clean, F.lit("reused")).alias("reused"))
+def step_events(df: DataFrame, line: str = "line", markers: Mapping[str, str] = MARKERS) -> DataFrame:
+    """step / of_steps of lines that begin with ``step N/M``, and the ``markers`` a line carries."""
+    clean = stripped(F.regexp_replace(strip_terminal_control(F.col(line)), r"(?U)\s+", " "))
+    number = lambda k: F.regexp_extract(clean, r"^step\s+(\d+)/(\d+)\b", k).try_cast("int")
+    return df.select("*", number(1).alias("step"), number(2).alias("of_steps"), *[F.contains(clean, F.lit(m)).alias(k) for k, m in markers.items()])
 
 
 def mounts(df: DataFrame, line: str = "line") -> DataFrame:

@@ -28,6 +28,12 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark names files."""
+    p, fs = _fs(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p, fs = _fs(spark, path)
     return fs.exists(p)

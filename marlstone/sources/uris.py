@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.functions.text import is_blank
+
 _PATTERN = r"^storage://([^/]+)/([^/]+)/(.+)$"
 
 
@@ -19,7 +21,7 @@ def resolved(uris: DataFrame, roles: DataFrame) -> DataFrame:
     own = uris.withColumn("p", parts(F.col("uri"))).select("*", "p.*").drop("p")
     met = own.join(roles, "namespace", "left")
     failure = (
-        F.when(F.col("uri").isNull() | (F.trim("uri") == ""), "missing_uri")
+        F.when(is_blank(F.col("uri")), "missing_uri")
         .when(~F.startswith("uri", F.lit("storage://")), "unsupported_scheme")
         .when(F.col("key").isNull(), "malformed_uri")
         .when(F.col("key").rlike(r"(^|/)\.\.(/|$)"), "unsafe_key")

@@ -7,14 +7,18 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def checkpoint_location(spark: SparkSession, name: str) -> str:
-    """A fresh checkpoint folder under the cluster's shared folder (a temporary one without it)."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="marlstone-stream-")
+    """A fresh checkpoint folder under the cluster's shared folder (a temporary one without it, on a local master)."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="marlstone-stream-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -26,10 +30,11 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def run_to_end(stream: DataFrame, mode: str, name: str) -> DataFrame:
-    """Process what is there and return the sink's table.
+def run_to_end(stream: DataFrame, mode: str, name: str, values: tuple[str, ...] = ()) -> DataFrame:
+    """Process what is there and return the sink's table, in the shared folder.
 
-    Append results go to Parquet in the shared folder; complete results to a table of memory.
+    Update results are written batch by batch; of each key (all columns that aren't ``values``)
+    the row of the last batch counts.
     """
     spark = stream.sparkSession
     where = checkpoint_location(spark, name)
@@ -37,9 +42,15 @@ def run_to_end(stream: DataFrame, mode: str, name: str) -> DataFrame:
     if mode == "append":
         writer.format("parquet").option("path", f"{where}/out").start().awaitTermination()
         return spark.read.schema(stream.schema).parquet(f"{where}/out")
-    table = f"{name}_{uuid.uuid4().hex}"
-    writer.format("memory").queryName(table).start().awaitTermination()
-    return spark.table(table)
+    # A batch that is repeated after a failure writes the same folder again.
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{where}/out/batch={number}")
+
+    writer.foreachBatch(put).start().awaitTermination()
+    rows = spark.read.schema(stream.schema.add("batch", "long")).option("basePath", f"{where}/out").parquet(f"{where}/out")
+    keys = [c for c in stream.columns if c not in values]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("last"))
+    return last.select(*keys, "last.*").select(*stream.columns)
 
 
 def hourly(events: DataFrame, lateness: str | None = None) -> DataFrame:
@@ -88,14 +99,17 @@ def split_lines(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy("process").applyInPandasWithState(step, "process string, line string", "rest string", "append", GroupStateTimeout.NoTimeout)
 
 
-def deduplicated(events: DataFrame, *keys: str) -> DataFrame:
-    """Replayed events once."""
+def deduplicated(events: DataFrame, *keys: str, within: str | None = None) -> DataFrame:
+    """Replayed events once; with ``within`` (on the event time ts) keys are forgotten after that time."""
+    if within:
+        return events.withWatermark("ts", within).dropDuplicatesWithinWatermark(list(keys))
     return events.dropDuplicates(list(keys))
 
 
-def fresh_only(events: DataFrame, max_age: str) -> DataFrame:
-    """Samples older than the allowed age are dropped as late."""
-    return events.withWatermark("ts", max_age)
+def fresh_only(events: DataFrame, max_age: str, now: Column | None = None) -> DataFrame:
+    """Samples no older than the allowed age; ``now`` is the clock of each batch unless it is given."""
+    clock = F.current_timestamp() if now is None else now
+    return events.where(F.col("ts") >= clock - F.expr(f"interval {max_age}"))
 
 
 def refreshed(trials: DataFrame, report: Callable[[DataFrame, int], None], where: str):
@@ -108,3 +122,13 @@ def refreshed(trials: DataFrame, report: Callable[[DataFrame, int], None], where
             print(f"report of batch {number} failed: {e}")
 
     return trials.writeStream.foreachBatch(each).option("checkpointLocation", where).trigger(availableNow=True).start()
+
+
+def unjudged(pairs: DataFrame, committed: DataFrame) -> DataFrame:
+    """Streamed pairs without those that a table of committed results covers (read anew by each batch's plan)."""
+    return pairs.join(committed.select("candidate_id", "record_id").distinct(), ["candidate_id", "record_id"], "left_anti")
+
+
+def emitted_every(metrics: DataFrame, seconds: float, emit: Callable[[DataFrame, int], None], where: str):
+    """Hand metric events to ``emit`` at a steady pace, however fast they come."""
+    return metrics.writeStream.foreachBatch(emit).option("checkpointLocation", where).trigger(processingTime=f"{seconds} seconds").start()

@@ -74,7 +74,7 @@ def test_judgments(spark):
     ok = {"baseline": side, "candidate": side, "decision": "tie", "confidence": 1, "regression": False, "rationale": "r", "evidence_sufficiency": "sufficient"}
     cases = [ok, {**ok, "baseline": {**side, "relevance": True}}, {**ok, "confidence": 2}, {**ok, "failure_categories": "x"}, {**ok, "decision": None}, [1]]
     got = [r[0] for r in spark.createDataFrame([(json.dumps(c),) for c in cases], "t string").select(judging.judgment_error(F.col("t"))).collect()]
-    assert got == [None, "baseline.relevance must be numeric", "judge confidence must be in [0, 1]", "failure_categories must be a list", "judge decision is invalid", "judge response must be a JSON object"]
+    assert got == [None, "baseline.relevance: not a number", "confidence: not a share", "failure_categories: not a list", "decision: unknown", "response: not a JSON object"]
 
 
 def test_attempts(spark):

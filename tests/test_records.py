@@ -32,7 +32,7 @@ def test_jsonl_lines_errors_and_forms(spark, tmp_path):
     lines = [
         json.dumps({"record_id": 1, "split": "train", "question": "q", "gold_reference": "a"}),
         "",
-        json.dumps({"id": "x", "split": "test", "messages": [{"role": "user", "content": "u"}, {"role": "assistant", "content": "v"}], "metadata": {"research_role": "mine"}}),
+        json.dumps({"record_id": "x", "id": "y", "split": "test", "messages": [{"role": "user", "content": "u"}, {"role": "assistant", "content": "v"}], "metadata": {"research_role": "mine"}}),
         "[1]",
     ]
     p.write_text("\n".join(lines))

@@ -3,7 +3,6 @@ import json
 import pytest
 
 from marlstone import config, lineage
-from marlstone.checks import ConstraintError
 from marlstone.sources import manifests, sinks
 from marlstone.streaming import live
 
@@ -62,23 +61,8 @@ def test_text_outputs():
     assert sinks.to_toml({"a": "x", "b": None, "c": [1, 2]}) == 'a = "x"\nc = [1, 2]\n'
 
 
-def test_packages(spark, tmp_path):
-    def put(name, value):
-        (tmp_path / name).write_text(json.dumps(value))
-        return str(tmp_path / name)
-
-    (tmp_path / "d.jsonl").write_text(json.dumps({"record_id": "1", "split": "train", "question": "q", "output": "a"}))
-    (tmp_path / "e.jsonl").write_text(json.dumps({"record_id": "2", "split": "test", "question": "q", "output": "a"}))
-    ds = put("d.json", {"records_uri": str(tmp_path / "d.jsonl")})
-    ev = {"evaluation_set_id": "e", "research_role": "exact_recall", "training_eligible": False, "records_uri": str(tmp_path / "e.jsonl"), "record_count": 1}
-    ev["manifest_checksum"] = lineage.manifest_checksum(ev)
-    uri = put("e.json", ev)
-    ref = {"manifest_uri": uri, **{k: ev.get(k) for k in manifests.REFERENCE_FIELDS}}
-    pkg = put("p.json", {"dataset": {"manifest_uri": ds}, "evaluation_sets": [ref]})
-    assert [(r.record_id, r.source_ordinal) for r in manifests.package_records(spark, pkg).orderBy("source_ordinal").collect()] == [("1", 0), ("2", 1)]
-    bad = put("q.json", {"dataset": {"manifest_uri": ds}, "evaluation_sets": [{**ref, "record_count": 2}]})
-    with pytest.raises(ConstraintError, match="record_count differs"):
-        manifests.package_records(spark, bad)
+def test_unreadable_evidence(spark, tmp_path):
+    (tmp_path / "d.jsonl").write_text(json.dumps({"evidence_id": "1", "text": "a"}))
     items, failures = manifests.evidence_items(spark, {"evidence_refs": [str(tmp_path / "d.jsonl"), str(tmp_path / "none.jsonl")]})
     assert items.count() == 1 and [f["category"] for f in failures] == ["unreadable"]
 
@@ -86,7 +70,10 @@ def test_packages(spark, tmp_path):
 def test_ids_and_config(tmp_path):
     assert lineage.variant_id({"b": 1, "a": 2}) == lineage.variant_id({"a": 2, "b": 1})
     assert lineage.training_run_id("x") == "trun-x" and lineage.training_run_id("trun-x") == "trun-x"
-    assert lineage.variant_identity({"target_modules": ["b", "a"], "output_dir": "x"}, {})["configuration"] == {"target_modules": ["a", "b"]}
+    one = lineage.variant_identity({"target_modules": ["b", "a"], "output_dir": "x", "lora_alpha": 16}, {"recipe": "r", "uri": "u"}, {"name": "m"})
+    assert one["training"]["target_modules"] == ["a", "b"] and one["training"]["lora_alpha"] == 16 and "output_dir" not in one["training"] and one["dataset"]["recipe"] == "r"
+    ids = {lineage.variant_id(lineage.variant_identity(c, {}, m)) for c, m in (({}, {}), ({"lora_alpha": 1}, {}), ({"load_in_4bit": True}, {}), ({"backend": "x"}, {}), ({"data_order": "y"}, {}), ({}, {"name": "m"}))}
+    assert len(ids) == 6  # each of these settings makes another variant
     assert config.EvaluationConfig.from_mapping({"candidates": ["a"], "gates": {"maximum_regression_rate": 0.1}}).gates.values["maximum_regression_rate"] == 0.1
     for bad in ({"candidates": ["a", "a"]}, {"judge": {"timeout_seconds": 0}}, {"gates": {"nope": 1}}):
         with pytest.raises(ValueError):
