@@ -12,9 +12,11 @@ the other windows are compared as a whole first (copies and quoted passages are
 and only the first of each group of equal runs is opened into windows, which are counted.
 
 Scale: anchors, runs and windows are counted by partial aggregation, so a passage in a third
-of all documents sends one row a task. Which occurrence is the first is a grouped minimum;
-occurrences meet counts and firsts, which are stored before, in joins whose large keys Spark
-splits. Shuffle files and tables of a step go when it is over.
+of all documents sends one row a task. A window occurs no more often than its anchor, so the
+anchors' counts tell which windows may be hot: their first occurrence is a grouped minimum, which
+combines before the shuffle, and the others meet it in a join whose large keys Spark splits. All
+other windows are ranked in groups of ``HOT`` rows at most. Shuffle files and tables of a step go
+when it is over.
 
 Defined cases: a null or empty text has no words; rows with the same doc_id and text are one
 document repeated and get the same result; documents with one doc_id and different texts
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +40,8 @@ from marlstone.llm.textmap import mixed, pieces, powers, span_hashes, text_bytes
 
 WINDOW = 20
 ANCHOR = 8
+#: A window whose anchor occurs more often is hot.
+HOT = 256
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -92,6 +96,7 @@ _RUNS = T.StructType(
         T.StructField("windows", T.ArrayType(T.LongType())),
         T.StructField("checks", T.ArrayType(T.IntegerType())),
         T.StructField("later", T.ArrayType(T.BooleanType())),
+        T.StructField("hot", T.ArrayType(T.BooleanType())),
     ]
 )
 
@@ -110,21 +115,24 @@ def _anchor_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def _run_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """Maximal runs of windows whose anchors are in the text's ``repeated`` list."""
+    """Maximal runs of windows whose anchors are in the text's ``repeated`` list; ``hot`` ones are marked."""
+
+    def marked(lists: pa.Array, w: Words) -> np.ndarray:
+        """Which words are in their text's list of places."""
+        out = np.zeros(len(w.hashes) + 1, bool)
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+        real = flat < np.diff(w.first)[owner]
+        out[w.first[owner[real]] + flat[real]] = True
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 w = Words(part.column("text"), window, anchor)
-                repeated = np.zeros(len(w.hashes) + 1, bool)
-                lists = part.column("repeated")
-                sizes = np.diff(w.first)
-                flat, offsets = lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
-                owner = np.repeat(np.arange(len(lists)), np.diff(offsets))
-                real = flat < sizes[owner]
-                repeated[w.first[owner[real]] + flat[real]] = True
+                repeated, hot = marked(part.column("repeated"), w), marked(part.column("hot"), w)
                 _, at = w.anchors()
-                starts = w.starts[repeated[at]]
+                starts, at = w.starts[repeated[at]], at[repeated[at]]
                 if not len(starts):
                     continue
                 new = np.concatenate([[True], (np.diff(starts) > 1) | (np.diff(w.owner[starts]) > 0)])
@@ -147,11 +155,12 @@ def _run_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
                         pa.ListArray.from_arrays(offs, pa.array(hashes.view(np.int64))),
                         pa.ListArray.from_arrays(offs, pa.array(checks.astype(np.int32))),
                         pa.ListArray.from_arrays(offs, pa.array(later)),
+                        pa.ListArray.from_arrays(offs, pa.array(hot[at])),
                     ],
                     names=_RUNS.names,
                 )
 
-    return docs.select("doc_id", "text_hash", "text", "repeated").mapInArrow(run, _RUNS)
+    return docs.select("doc_id", "text_hash", "text", "repeated", "hot").mapInArrow(run, _RUNS)
 
 
 def _later_here(hashes: np.ndarray, checks: np.ndarray, part: pa.RecordBatch, w: Words, starts: np.ndarray) -> np.ndarray:
@@ -181,8 +190,8 @@ def removal_intervals(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
     """
     anchors = stored(_anchor_rows(docs, window, anchor), "anchors")
     # Stored first: joined as it is counted, its large keys couldn't be split.
-    common = stored(anchors.groupBy("h").count().where(F.col("count") > 1).select("h"), "common-anchors")
-    places = anchors.join(common.hint("merge"), "h", "left_semi").groupBy("doc").agg(F.collect_set("at").alias("repeated"))
+    common = stored(anchors.groupBy("h").count().where(F.col("count") > 1).select("h", (F.col("count") > HOT).alias("hot")), "common-anchors")
+    places = anchors.join(common.hint("merge"), "h").groupBy("doc").agg(F.collect_set("at").alias("repeated"), F.collect_set(F.when(F.col("hot"), F.col("at"))).alias("hot"))
     places = stored(places, "repeated-anchors")
     discard(anchors)
     discard(common)
@@ -195,24 +204,25 @@ def removal_intervals(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
     # The place is part of the key, so the runs of one group are dealt out.
     own = [F.col(c).eqNullSafe(F.col(f"f_{c}")) for c in order]
     same = [runs[c] == first_runs[c] for c in ("run_a", "run_b")]
-    judged = runs.join(first_runs.hint("merge"), [*same, *own], "left").select(*order, F.coalesce("first", F.lit(False)).alias("first"), F.size("windows").alias("n"), "windows", "checks", "later")
-    lists = [F.when(F.col("first"), F.col(c)).alias(c) for c in ("windows", "checks", "later")]
+    judged = runs.join(first_runs.hint("merge"), [*same, *own], "left").select(*order, F.coalesce("first", F.lit(False)).alias("first"), F.size("windows").alias("n"), "windows", "checks", "later", "hot")
+    lists = [F.when(F.col("first"), F.col(c)).alias(c) for c in ("windows", "checks", "later", "hot")]
     judged = stored(judged.select(*order, "first", "n", *lists), "judged-runs")
     discard(runs)
     # Of equal runs the first is opened into its windows; any other goes as a whole.
     whole = judged.where("not first").select(*order, (F.col("n") - 1 + window).alias("length"))
-    opened = judged.where("first").select(*order, F.posexplode(F.arrays_zip("windows", "checks", "later")).alias("k", "w"))
-    opened = opened.select("doc_id", "text_hash", (F.col("start") + F.col("k")).alias("start"), F.col("w.windows").alias("w"), F.col("w.checks").alias("c"), F.col("w.later").alias("known"))
+    opened = judged.where("first").select(*order, F.posexplode(F.arrays_zip("windows", "checks", "later", "hot")).alias("k", "w"))
+    opened = opened.select("doc_id", "text_hash", (F.col("start") + F.col("k")).alias("start"), F.col("w.windows").alias("w"), F.col("w.checks").alias("c"), F.col("w.later").alias("known"), F.col("w.hot").alias("hot"))
     known = opened.where("known").select(*order, F.lit(window).alias("length"))
-    opened = opened.where("not known").drop("known")
-    common = stored(opened.groupBy("w", "c").count().where(F.col("count") > 1).select("w", "c"), "common-windows")
-    met = stored(opened.join(common.hint("merge"), ["w", "c"], "left_semi"), "met-windows")
-    firsts = stored(met.groupBy("w", "c").agg(F.min(F.struct(*order)).alias("f")), "first-windows")
-    again = met.join(firsts.hint("merge"), ["w", "c"]).where(F.struct(*order) != F.col("f")).select(*order, F.lit(window).alias("length"))
-    later = whole.unionByName(known).unionByName(again)
+    # A window occurs no more often than its anchor: one that isn't hot has HOT rows at most.
+    rare = opened.where("not known and not hot").select(*order, "w", "c")
+    ranked = rare.withColumn("place", F.rank().over(Window.partitionBy("w", "c").orderBy(*order))).where("place > 1").select(*order, F.lit(window).alias("length"))
+    hot = opened.where("not known and hot").select(*order, "w", "c")
+    firsts = stored(hot.groupBy("w", "c").agg(F.min(F.struct(*order)).alias("f")), "first-windows")
+    again = hot.join(firsts.hint("merge"), ["w", "c"]).where(F.struct(*order) != F.col("f")).select(*order, F.lit(window).alias("length"))
+    later = whole.unionByName(known).unionByName(ranked).unionByName(again)
     later = later.select(F.xxhash64("doc_id", "text_hash").alias("doc"), F.col("start").alias("a"), (F.col("start") + F.col("length")).alias("b"))
     out = stored(later.groupBy("doc").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "removals")
-    for table in (judged, common, met, firsts):
+    for table in (judged, firsts):
         discard(table)
     return out
 

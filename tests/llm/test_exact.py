@@ -97,9 +97,10 @@ def removals(rows, window):
     return sorted((str(d), *out[(d is not None, d or 0, t or "")]) for d, t in rows)
 
 
-def test_substrings(docs, no_docs):
+def test_substrings(docs, no_docs, monkeypatch):
     rows = [(r[0], r[1]) for r in documents()]
-    for window, anchor in ((20, 8), (5, 2)):
+    for window, anchor, hot in ((20, 8, 256), (5, 2, 256), (5, 2, 2), (20, 8, 1)):
+        monkeypatch.setattr(substrings, "HOT", hot)
         got = sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in substrings.without_repeats(docs, window, anchor).collect())
         assert got == removals(rows, window)
     one = {r.doc_id: r for r in substrings.without_repeats(docs.where("doc_id in (1, 5, 7, 6)")).collect()}
