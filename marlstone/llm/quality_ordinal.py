@@ -10,9 +10,10 @@ and the binned statistics of quality_rules (how many symbols, repeats, capitals
 Scale: fitted on a bounded sample (``sample`` labelled rows; see labelled.py); whole texts are
 scored where they lie.
 
-Defined cases: a null or empty text is scored by its statistics alone; without ratings all
+Defined cases: a tail probability of exactly one half keeps; a null or empty text is scored by its statistics alone; without ratings all
 grades are equally likely; a grade that isn't in the sample gets a small share; repeated
-documents score alike; an empty table gives an empty result.
+documents score alike; a very long text is scored whole; an empty table gives an empty result;
+columns of the same names as the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -78,6 +79,25 @@ class Ordinal:
         return np.diff(np.concatenate([np.zeros((len(below), 1)), below, np.ones((len(below), 1))], axis=1), axis=1)
 
 
+def gradients(weights: np.ndarray, free: np.ndarray, batch: tuple[np.ndarray, np.ndarray, np.ndarray], target: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean negative log likelihood of a batch, and its gradients by ``weights`` and by ``free``.
+
+    The thresholds are free[0], then each one more by the exponential of the next of ``free``.
+    """
+    who, what, value = batch
+    cuts = np.concatenate([[-np.inf], np.cumsum(np.concatenate([free[:1], np.exp(free[1:])])), [np.inf]])
+    score = np.bincount(who, weights[what] * value, minlength=len(target))
+    with np.errstate(over="ignore"):
+        hi, lo = 1 / (1 + np.exp(-(cuts[target + 1] - score))), 1 / (1 + np.exp(-(cuts[target] - score)))
+    p = np.maximum(hi - lo, 1e-9)
+    d_hi, d_lo = hi * (1 - hi) / p, lo * (1 - lo) / p
+    by_text = (d_hi - d_lo) / len(target)
+    by_weight = np.bincount(what, by_text[who] * value, minlength=len(weights))
+    by_cut = np.array([(-d_hi[target == j].sum() + d_lo[target == j + 1].sum()) / len(target) for j in range(len(free))])
+    by_free = np.array([by_cut.sum(), *[by_cut[j:].sum() * np.exp(free[j]) for j in range(1, len(free))]])
+    return float(-np.log(p).mean()), by_weight, by_free
+
+
 def fit(sample: list[tuple[str, int]], grades: int = GRADES, rounds: int = 12, rate: float = 0.1, decay: float = 1e-5) -> Ordinal:
     """Adagrad on the negative log likelihood, in small batches of a fixed order."""
     y = np.array([g for _, g in sample], int)
@@ -94,23 +114,12 @@ def fit(sample: list[tuple[str, int]], grades: int = GRADES, rounds: int = 12, r
         batches.append((inputs(pa.array([sample[k][0] for k in own], pa.string())), y[own]))
     for _ in range(rounds if len(set(y.tolist())) > 1 else 0):
         for k in rng.permutation(len(batches)):
-            (who, what, value), target = batches[k]
-            cuts = np.concatenate([[-np.inf], np.cumsum(np.concatenate([free[:1], np.exp(free[1:])])), [np.inf]])
-            score = np.bincount(who, weights[what] * value, minlength=len(target))
-            with np.errstate(over="ignore"):
-                hi, lo = 1 / (1 + np.exp(-(cuts[target + 1] - score))), 1 / (1 + np.exp(-(cuts[target] - score)))
-            p = np.maximum(hi - lo, 1e-9)
-            d_hi, d_lo = hi * (1 - hi) / p, lo * (1 - lo) / p
-            by_text = (d_hi - d_lo) / len(target)  # of -log p by the score
-            np_grad = np.bincount(what, by_text[who] * value, minlength=len(weights))
-            used = np.unique(what)
-            g = np_grad[used] + decay * weights[used]
+            batch, target = batches[k]
+            _, by_weight, by_free = gradients(weights, free, batch, target)
+            used = np.unique(batch[1])
+            g = by_weight[used] + decay * weights[used]
             squares[used] += g * g
             weights[used] -= rate * g / np.sqrt(squares[used])
-            by_cut = np.zeros(len(free))
-            for j in range(len(free)):
-                by_cut[j] = (-d_hi[target == j].sum() + d_lo[target == j + 1].sum()) / len(target)
-            by_free = np.array([by_cut.sum(), *[by_cut[j:].sum() * np.exp(free[j]) for j in range(1, len(free))]])
             free_squares += by_free**2
             free = free - 0.05 * by_free / np.sqrt(free_squares)
     return Ordinal(weights, np.cumsum(np.concatenate([free[:1], np.exp(free[1:])])))

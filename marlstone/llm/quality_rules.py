@@ -146,8 +146,9 @@ def default_rules() -> dict[str, Column]:
 def fit_votes(patterns: Mapping[tuple[int, ...], int], rounds: int = 200, smoothing: float = 1.0) -> tuple[float, np.ndarray]:
     """Prior of quality and P(vote | class) as an array (class, rule, vote + 1), by EM.
 
-    Class 1 is quality: it starts as the patterns with more good than bad votes, and each
-    rule's rates are smoothed, so the result is the same for the same counts.
+    Class 1 is quality: at the start its probability is 0.95 without a bad vote and 0.45 less for
+    each one (within 0.02 and 0.98); each rule's rates are smoothed, so the result is the same for
+    the same counts.
     """
     votes = np.array(sorted(patterns), int)
     if not len(votes):

@@ -14,7 +14,8 @@ within a piece), so no shard is gathered in one task.
 
 Defined cases: a null text has no bytes and counts as the empty text; a null metadata value
 sorts first; metadata is compared by the six bytes after the beginning that all values share;
-repeated documents are placed each for itself; an empty table gives no rows;
+repeated documents are placed each for itself; a very long text is one atom, whatever its size;
+names of other columns can't clash, as only its own are returned; an empty table gives no rows;
 with few documents some shards stay empty.
 """
 

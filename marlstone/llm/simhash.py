@@ -18,7 +18,9 @@ at most, and is searched by flipping its free bits where it is large. Components
 distributed (see components.py).
 
 Defined cases: a null or empty text has fingerprint zero, linked like any other; null ids are
-ignored in component_id (null if a group has no other); repeated documents each get a row.
+ignored in component_id (null if a group has no other); repeated documents each get a row; a
+very long text is read whole, in steps; an empty table gives no rows; near_duplicates returns its
+own columns only, so names can't clash.
 """
 
 from __future__ import annotations

@@ -20,8 +20,9 @@ when it is over.
 
 Defined cases: a null or empty text has no words; rows with the same doc_id and text are one
 document repeated and get the same result; documents with one doc_id and different texts
-follow in the order of their text hashes; a null doc_id comes before all others; an empty
-table gives no rows.
+follow in the order of their text hashes; a null doc_id comes before all others; a very long text
+is treated whole; an empty table gives no rows; only doc_id (a whole number) and text are read,
+so names of other columns can't clash.
 """
 
 from __future__ import annotations

@@ -4,12 +4,14 @@ Terms are the lower-cased words of a text and the words' beginnings of 4, 5 and
 (insults are inflected), each hashed to 64 bits. Those whose presence depends on the label
 beyond chance (chi square, at most ``features`` of them) are the machine's inputs: a bias, a
 linear weight each, and a vector of ``factors`` each whose products are the weights of pairs,
-so two harmless terms can be harmful together and an insult can be quoted without harm.
+so two harmless terms can be harmful together and an insult can be quoted without harm. The
+screen looks at single terms: a pair of which both terms say nothing alone isn't found.
 
 Scale: the machine is fitted on a bounded sample (``sample`` labelled rows; see labelled.py)
 and scores whole texts where they lie.
 
-Defined cases: a null or empty text gets the bias alone; without labels of both classes the
+Defined cases: a score of exactly one half is predicted as 1; a null or empty text gets the bias
+alone; a very long text is scored whole; without labels of both classes the
 score is the share of label 1 in the sample (one half of a pseudo-count added); repeated
 documents score alike; an empty table gives an empty result; columns of the same names as the
 added ones are replaced.
