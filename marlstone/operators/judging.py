@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from typing import Any, Protocol
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -86,6 +87,49 @@ def attempt_state(pairs: DataFrame, requests: DataFrame, rejections: DataFrame,
     )
 
 
+class Judge(Protocol):
+    """What a judge offers; ``judge`` alone runs on the executors."""
+
+    def diagnose(self) -> dict[str, Any]: ...
+
+    def capabilities(self) -> dict[str, Any]: ...
+
+    def acquire(self) -> None: ...
+
+    def count_tokens(self, messages: str) -> int: ...
+
+    def judge(self, messages: str) -> str: ...
+
+    def release(self) -> None: ...
+
+
+def judged_by(requests: DataFrame, make: Callable[[], Judge], context_tokens: int, output_tokens: int) -> DataFrame:
+    """(request_id, response, reason): one judge a task, taken and released; requests beyond the context aren't sent.
+
+    A failure of one request is its reason, and the others go on.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client = make()
+        client.acquire()
+        try:
+            for b in batches:
+                rows = []
+                for request, messages in zip(b["request_id"], b["messages"]):
+                    if client.count_tokens(messages) + output_tokens > context_tokens:
+                        rows.append((request, None, "token_budget_exceeded"))
+                        continue
+                    try:
+                        rows.append((request, client.judge(messages), None))
+                    except Exception:  # noqa: BLE001  a row, not the task, has failed
+                        rows.append((request, None, "judge_request_failed"))
+                yield pd.DataFrame(rows, columns=["request_id", "response", "reason"])
+        finally:
+            client.release()
+
+    return requests.select("request_id", "messages").mapInPandas(run, "request_id string, response string, reason string")
+
+
 def judged(requests: DataFrame, judge: Callable[[str], str]) -> DataFrame:
     """Responses of a judge callable to ``messages`` (JSON text), in Arrow batches on the executors."""
 
@@ -111,3 +155,18 @@ def judge_messages(body: pd.Series) -> pd.Series:
 def response_content(response: Column) -> Column:
     """The first choice's content of a chat response, or null."""
     return F.get_json_object(response, "$.choices[0].message.content")
+
+
+def response_fields(response: Column) -> Column:
+    """Content, model, finish reason, request id and token counts of a chat response, and why it can't be used."""
+    at = lambda path: F.get_json_object(response, f"$.{path}")
+    content = response_content(response)
+    return F.struct(
+        content.alias("content"),
+        at("model").alias("model"),
+        at("choices[0].finish_reason").alias("finish_reason"),
+        at("id").alias("provider_request_id"),
+        at("usage.prompt_tokens").try_cast("long").alias("prompt_tokens"),
+        at("usage.completion_tokens").try_cast("long").alias("completion_tokens"),
+        F.when(content.isNull(), "response without content").alias("error"),
+    )

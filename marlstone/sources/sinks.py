@@ -171,6 +171,31 @@ def render_table(rows: Sequence[Mapping[str, Any]]) -> str:
     return "\n".join("  ".join(x.ljust(w) for x, w in zip(line, widths)).rstrip() for line in cells)
 
 
+def render_nested(value: Any, indent: int = 0) -> str:
+    """Any JSON value as indented text: labelled fields, flat lists of objects as tables, other lists by number."""
+    pad = " " * indent
+    show = lambda v: v if isinstance(v, str) else json.dumps(v, ensure_ascii=False, sort_keys=True, default=str)
+    nested = lambda v: isinstance(v, (Mapping, list, tuple))
+    if isinstance(value, Mapping):
+        lines = [f"{pad}{_label(k)}:\n{render_nested(v, indent + 2)}" if nested(v) else f"{pad}{_label(k)}: {show(v)}" for k, v in value.items()]
+        return "\n".join(lines) or f"{pad}No fields."
+    if not nested(value):
+        return pad + show(value)
+    if not value:
+        return f"{pad}No records."
+    if all(isinstance(v, Mapping) and v and not any(map(nested, v.values())) for v in value):
+        columns = list(dict.fromkeys(k for v in value for k in v))
+        cells = [[_label(c) for c in columns], *[[show(v.get(c)) for c in columns] for v in value]]
+        widths = [max(map(len, column)) for column in zip(*cells)]
+        rows = ["  ".join(x.ljust(w) for x, w in zip(line, widths)) for line in [cells[0], ["-" * w for w in widths], *cells[1:]]]
+        return "\n".join(pad + r.rstrip() for r in rows)
+    return "\n".join(f"{pad}Record {k}:\n{render_nested(v, indent + 2)}" if nested(v) else f"{pad}- {show(v)}" for k, v in enumerate(value, 1))
+
+
+def _label(name: str) -> str:
+    return str(name).replace("_", " ").strip().capitalize()
+
+
 def render_markdown(rows: Sequence[Mapping[str, Any]]) -> str:
     if not rows:
         return "No records."

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.functions.text import is_blank
@@ -31,6 +34,36 @@ def resolved(uris: DataFrame, roles: DataFrame) -> DataFrame:
     return met.withColumn("failure", failure)
 
 
+class Storage:
+    """Places of storage URIs: ``roles`` maps a namespace to (role, profile, root folder)."""
+
+    def __init__(self, roles: Mapping[str, tuple[str, str, str]]) -> None:
+        self.roles = dict(roles)
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """The roles as rows, for ``resolved``."""
+        return spark.createDataFrame([(n, r, p) for n, (r, p, _) in self.roles.items()], "namespace string, role string, role_profile string")
+
+    def uri(self, namespace: str, key: str) -> str:
+        return f"storage://{self.roles[namespace][1]}/{namespace}/{key}"
+
+    def locate(self, uri: str) -> str:
+        """The path of one URI; a path of another kind is its own place. Errors as in ``resolved``."""
+        if not uri.startswith("storage://"):
+            return uri
+        found = re.match(_PATTERN, uri)
+        if not found:
+            raise ValueError(f"malformed_uri: {uri}")
+        profile, namespace, key = found.groups()
+        if ".." in key.split("/"):
+            raise ValueError(f"unsafe_key: {uri}")
+        if namespace not in self.roles:
+            raise ValueError(f"unknown_namespace: {uri}")
+        if self.roles[namespace][1] != profile:
+            raise ValueError(f"profile_mismatch: {uri}")
+        return f"{self.roles[namespace][2].rstrip('/')}/{key}"
+
+
 def failures(resolved_uris: DataFrame) -> DataFrame:
     """Uniform failure rows."""
     return resolved_uris.where("failure is not null").select("uri", "namespace", "role", "profile", F.col("failure").alias("category"))

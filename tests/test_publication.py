@@ -140,3 +140,85 @@ def test_final_report():
     assert "No completed trials" in publications.final_report({})
     out = publications.final_report({"m": {"trial_id": "t", "training_seconds": 1.5, "completed_steps": 2, "power": None}})
     assert "- training_seconds: 1.5000" in out and "- completed_steps: 2" in out and "- power: unavailable" in out
+
+
+def test_registry():
+    from marlstone.registry import Registry
+
+    r = Registry("backend")
+    r.register("a", dict)
+    r.register("b")(lambda x: x + 1)
+    assert r.create("a", k=1) == {"k": 1} and r.create("b", 1) == 2 and r.names() == ["a", "b"]
+    for bad in (lambda: r.register("a", list), lambda: r.create("c")):
+        with pytest.raises(ValueError):
+            bad()
+
+
+def test_samplers(spark):
+    from marlstone.sources.samplers import register_sampler
+
+    name = register_sampler(spark, "fixture_sampler", lambda k: [(k, float(k) / 2), (k, None)], "n int, watts double")
+    assert sorted(r.n for r in spark.read.format(name).option("samples", 3).load().collect()) == [0, 0, 1, 1, 2, 2]
+    q = spark.readStream.format(name).option("samples", 3).load().writeStream.format("memory").queryName("sampled").start()
+    q.processAllAvailable()
+    q.stop()
+    rows = spark.table("sampled").collect()
+    assert {r.n for r in rows} <= {0, 1, 2} and len(rows) >= 2
+
+
+def test_judges(spark):
+    from marlstone.operators import judging
+
+    class Client:
+        def acquire(self):
+            self.open = True
+
+        def release(self):
+            self.open = False
+
+        def count_tokens(self, messages):
+            return len(messages)
+
+        def judge(self, messages):
+            if messages == "bad":
+                raise OSError(messages)
+            return messages.upper() if self.open else ""
+
+    r = spark.createDataFrame([("1", "abc"), ("2", "bad"), ("3", "x" * 50)], "request_id string, messages string")
+    got = {x.request_id: (x.response, x.reason) for x in judging.judged_by(r, Client, 40, 10).collect()}
+    assert got == {"1": ("ABC", None), "2": (None, "judge_request_failed"), "3": (None, "token_budget_exceeded")}
+    body = '{"id":"i","model":"m","choices":[{"message":{"content":"c"},"finish_reason":"stop"}],"usage":{"prompt_tokens":3,"completion_tokens":4}}'
+    f = spark.createDataFrame([(body,), ("{}",)], "b string").select(judging.response_fields(F.col("b")).alias("f")).select("f.*").collect()
+    assert tuple(f[0]) == ("c", "m", "stop", "i", 3, 4, None) and f[1].error == "response without content"
+
+
+def test_rendering_and_storage(spark):
+    from marlstone.sources import uris
+
+    text = sinks.render_nested({"run_id": "r", "gpu usage": [{"a": 1, "b_c": None}, {"a": 22}], "empty": {}, "none": [], "mixed": [1, {"x": [2]}]})
+    assert text.splitlines() == ["Run id: r", "Gpu usage:", "  A   B c", "  --  ----", "  1   null", "  22  null", "Empty:", "  No fields.", "None:", "  No records.", "Mixed:", "  - 1", "  Record 2:", "    X:", "      - 2"]
+    s = uris.Storage({"datasets": ("dataset", "main", "/data/")})
+    assert s.locate(s.uri("datasets", "a/b")) == "/data/a/b" and s.locate("/x") == "/x"
+    for bad in ("storage://main/x/a", "storage://other/datasets/a", "storage://main/datasets/../a", "storage://main"):
+        with pytest.raises(ValueError):
+            s.locate(bad)
+    assert uris.resolved(spark.createDataFrame([(s.uri("datasets", "k"),)], "uri string"), s.table(spark)).first().failure is None
+
+
+def test_configuration_rules():
+    from marlstone import config as C
+
+    good = C.TrainingConfig.from_mapping({"model_name": "m", "target_modules": ["a"], "max_examples": None})
+    assert good.target_modules == ("a",)
+    bad = [
+        (C.TrainingConfig, {"lora_alpha": 0}), (C.TrainingConfig, {"learning_rate": 0}), (C.TrainingConfig, {"lora_dropout": 1}), (C.TrainingConfig, {"overlength": "cut"}), (C.TrainingConfig, {"run_id": "a", "training_run_id": "b"}),
+        (C.TrainingConfig, {"run_id": "a/b"}), (C.TrainingConfig, {"experiment_id": "x"}), (C.TrainingConfig, {"tracking_backend": "table"}), (C.TrainingConfig, {"max_examples": 0}), (C.TrainingConfig, {"nope": 1}),
+        (C.CapacityConfig, {"gpu_memory_limit_percent": 101}), (C.CapacityConfig, {"trial_timeout_seconds": 0}), (C.CapacityConfig, {"axes": ["lora_rank"]}), (C.CapacityConfig, {"batch_sizes": []}), (C.CapacityConfig, {"reuse_loaded_model": True, "restart_worker_after_oom": False}),
+        (C.EvaluationConfig, {"evidence": {"required": True}}), (C.EvaluationConfig, {"judge": {"max_output_tokens": 40000}}), (C.EvaluationConfig, {"minimum_record_overlap": 0}), (C.EvaluationConfig, {"gates": {"maximum_regression_rate": 2}}),
+    ]
+    for cls, values in bad:
+        with pytest.raises(ValueError):
+            cls.from_mapping(values)
+    r = C.resolve(C.TrainingConfig, {"lora_rank": 4, "seed": 1}, {"lora_rank": 16, "seed": None, "max_steps": 1})
+    assert (r.sources["lora_rank"], r.sources["seed"], r.sources["lora_alpha"]) == ("--lora-rank", "file", "built-in")
+    assert [(o["key"], o["previous"], o["effective"]) for o in r.overrides] == [("lora_rank", 4, 16)]
