@@ -112,6 +112,20 @@ def loading_status(seconds: Column, vram_bytes: Column, percent: Column, watts:
     )
 
 
+def progress_line(step: Column, steps: Column, loss: Column, cpu: Column, ram_bytes: Column, gpu_percent: Column, gpu_bytes: Column, watts: Column) -> Column:
+    """One line of a run's progress; unknown device readings are left out, 'GPU n/a' without any."""
+    gib = lambda b: F.format_string("%.2f GiB", b / (1 << 30))
+    device = F.concat_ws(" ", F.when(gpu_percent.isNotNull(), F.format_string("%.0f%%", gpu_percent.cast("double"))), F.when(gpu_bytes.isNotNull(), gib(gpu_bytes)), F.when(watts.isNotNull(), F.format_string("%.0fW", watts.cast("double"))))
+    return F.concat_ws(
+        " | ",
+        F.format_string("step %d/%d", step.cast("long"), steps.cast("long")),
+        F.format_string("loss %.4f", loss.cast("double")),
+        F.when(cpu.isNotNull(), F.format_string("CPU %.0f%%", cpu.cast("double"))),
+        F.when(ram_bytes.isNotNull(), F.concat(F.lit("RAM "), gib(ram_bytes))),
+        F.concat(F.lit("GPU "), F.when(device == "", "n/a").otherwise(device)),
+    )
+
+
 def without_fences(text: Column) -> Column:
     """The content of a fenced block, without the fence and its json tag."""
     bare = stripped(text)

@@ -149,6 +149,20 @@ def suite_accuracy(rows: DataFrame) -> DataFrame:
     return rows.rollup("suite").agg((F.grouping("suite") == 1).alias("overall"), F.count("*").alias("n"), F.avg(F.col("correct").cast("double")).alias("accuracy"))
 
 
+def suite_report(rows: DataFrame) -> DataFrame:
+    """Examples, both accuracies and the distinct evaluation sets (sorted) of each suite, and overall.
+
+    Columns read: suite, exact_match, contains_expected, evaluation_set_id, evaluation_set_version.
+    A null suite is the legacy one; rows without a set id add no set. The sets of a suite are few.
+    """
+    own = rows.withColumn("suite", F.coalesce("suite", F.lit("legacy_evaluation")))
+    share = lambda c: F.avg(F.col(c).cast("double"))
+    sets = F.collect_set(F.when(F.col("evaluation_set_id").isNotNull(), F.struct("evaluation_set_id", F.coalesce("evaluation_set_version", F.lit("")).alias("evaluation_set_version"))))
+    return own.rollup("suite").agg(
+        (F.grouping("suite") == 1).alias("overall"), F.count("*").alias("example_count"), share("exact_match").alias("exact_match_accuracy"), share("contains_expected").alias("contains_expected_accuracy"), F.array_sort(sets).alias("evaluation_sets")
+    )
+
+
 def deltas(baseline: DataFrame, trained: DataFrame) -> DataFrame:
     """Change of each suite's accuracy; null without records."""
     b = baseline.select("suite", F.col("accuracy").alias("before"))

@@ -191,6 +191,17 @@ def token_totals(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("examples"), F.sum(F.size("input_ids")).alias("input_tokens"), F.sum(targets).alias("target_tokens"))
 
 
+def training_totals(steps: DataFrame, batch: int, accumulation: int) -> DataFrame:
+    """What a run has processed, from its micro-batches (examples, input_tokens, target_tokens, loss).
+
+    A step is complete after ``accumulation`` micro-batches; the mean loss is over all of them.
+    """
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(f"{c}_processed")
+    return steps.agg(
+        F.floor(F.count("*") / accumulation).alias("train_steps"), F.avg("loss").alias("train_loss"), total("examples"), total("input_tokens"), total("target_tokens"), F.lit(batch * accumulation).cast("long").alias("effective_batch_size")
+    )
+
+
 def padded(df: DataFrame, batch: str = "batch_id", pad: int = 0) -> DataFrame:
     """Right-padded ids, attention mask and labels of each batch."""
     longest = F.max(F.size("input_ids")).over(Window.partitionBy(batch))

@@ -198,3 +198,46 @@ def live_metrics(spark, sf_dir):
     k = F.col("event_id")
     e = V.table(spark, sf_dir, "events").select(k.alias("step"), k.alias("steps"), F.lit(None).cast("double").alias("examples"), F.when(k % 5 != 0, F.col("value")).alias("tokens"), (k % 7).cast("double").alias("elapsed"))
     return tele.live_metrics(e).withColumn("value", F.round("value", 6))
+
+
+@query("""WITH x AS (SELECT CASE WHEN doc_id % 8 <> 0 THEN source END AS s, quality, toxic, CASE WHEN doc_id % 3 = 0 THEN 'set' || (doc_id % 2) END AS id, lang FROM documents JOIN labels USING (doc_id)), y AS (SELECT coalesce(s, 'legacy_evaluation') AS suite, * FROM x)
+SELECT suite, grouping(suite) = 1 AS overall, count(*) AS example_count, round(avg(quality), 9) AS exact_match_accuracy, round(avg(toxic), 9) AS contains_expected_accuracy,
+  coalesce(array_to_string(list_sort(list_distinct(list(id || '/' || lang) FILTER (WHERE id IS NOT NULL))), ','), '') AS sets FROM y GROUP BY ROLLUP (suite)""")
+def suite_report(spark, sf_dir):
+    from marlstone.operators import evalagg
+
+    rows = V.table(spark, sf_dir, "documents").join(V.table(spark, sf_dir, "labels"), "doc_id")
+    k = F.col("doc_id")
+    own = rows.select(
+        F.when(k % 8 != 0, F.col("source")).alias("suite"), F.col("quality").alias("exact_match"), F.col("toxic").alias("contains_expected"), F.when(k % 3 == 0, F.concat(F.lit("set"), (k % 2).cast("string"))).alias("evaluation_set_id"), F.col("lang").alias("evaluation_set_version")
+    )
+    sets = F.array_join(F.transform("evaluation_sets", lambda e: F.concat_ws("/", e["evaluation_set_id"], e["evaluation_set_version"])), ",")
+    r = evalagg.suite_report(own)
+    return r.select("suite", "overall", "example_count", F.round("exact_match_accuracy", 9).alias("exact_match_accuracy"), F.round("contains_expected_accuracy", 9).alias("contains_expected_accuracy"), sets.alias("sets"))
+
+
+@query("""SELECT CAST(count(*) // 4 AS BIGINT) AS train_steps, round(avg(value), 6) AS train_loss, CAST(count(*) * 2 AS BIGINT) AS examples_processed, CAST(sum(event_id) AS BIGINT) AS input_tokens_processed, CAST(sum(event_id // 2) AS BIGINT) AS target_tokens_processed, CAST(8 AS BIGINT) AS effective_batch_size FROM events""")
+def training_totals(spark, sf_dir):
+    e = V.table(spark, sf_dir, "events").select(F.lit(2).cast("long").alias("examples"), F.col("event_id").cast("long").alias("input_tokens"), F.floor(F.col("event_id") / 2).cast("long").alias("target_tokens"), F.col("value").alias("loss"))
+    return records.training_totals(e, 2, 4).withColumn("train_loss", F.round("train_loss", 6))
+
+
+@query("""SELECT event_id, 'step ' || event_id || '/100 | loss ' || printf('%.4f', event_id % 10 / 4) || CASE WHEN event_id % 3 > 0 THEN ' | CPU ' || (event_id % 3) || '%' ELSE '' END || ' | GPU ' || CASE WHEN event_id % 4 > 0 THEN (event_id % 50) || '%' ELSE 'n/a' END AS line FROM events""")
+def progress_lines(spark, sf_dir):
+    from marlstone.functions.text import progress_line
+
+    k, none = F.col("event_id"), F.lit(None).cast("double")
+    line = progress_line(k, F.lit(100), k % 10 / 4, F.when(k % 3 > 0, k % 3), none, F.when(k % 4 > 0, k % 50), none, none)
+    return V.table(spark, sf_dir, "events").select("event_id", line.alias("line"))
+
+
+@query("""WITH u AS (SELECT c_custkey AS k, CASE c_custkey % 7 WHEN 0 THEN NULL WHEN 1 THEN 'file:///x' WHEN 2 THEN 'storage://main' WHEN 3 THEN 'storage://main/datasets/../x' WHEN 4 THEN 'storage://main/none/x' WHEN 5 THEN 'storage://other/datasets/x' ELSE 'storage://main/datasets/x' END AS uri FROM customer)
+SELECT k, CASE k % 7 WHEN 0 THEN 'missing_uri' WHEN 1 THEN 'unsupported_scheme' WHEN 2 THEN 'malformed_uri' WHEN 3 THEN 'unsafe_key' WHEN 4 THEN 'unknown_namespace' ELSE 'profile_mismatch' END AS category FROM u WHERE k % 7 < 6""")
+def uri_failures(spark, sf_dir):
+    from marlstone.sources import uris
+
+    k = F.col("c_custkey")
+    found = F.when(k % 7 == 1, "file:///x").when(k % 7 == 2, "storage://main").when(k % 7 == 3, "storage://main/datasets/../x").when(k % 7 == 4, "storage://main/none/x").when(k % 7 == 5, "storage://other/datasets/x").when(k % 7 == 6, "storage://main/datasets/x")
+    own = V.table(spark, sf_dir, "customer").select(k.alias("k"), found.alias("uri"))
+    roles = uris.Storage({"datasets": ("dataset", "main", "/data")}).table(spark)
+    return uris.resolved(own, roles).where("failure is not null").select("k", F.col("failure").alias("category"))

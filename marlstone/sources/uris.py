@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 
 from marlstone.functions.text import is_blank
 
+#: What each category of failure means; the last two are of stored objects.
+DETAILS = {
+    "missing_uri": "there is no URI", "unsupported_scheme": "the URI isn't a storage URI", "malformed_uri": "the URI lacks a profile, a namespace or a key", "unsafe_key": "the key leaves its namespace",
+    "unknown_namespace": "no role has this namespace", "profile_mismatch": "the namespace belongs to another profile", "artifact_unavailable": "the object can't be read", "evidence_refs_missing": "the manifest lists no evidence",
+}
 _PATTERN = r"^storage://([^/]+)/([^/]+)/(.+)$"
 
 
@@ -65,5 +70,6 @@ class Storage:
 
 
 def failures(resolved_uris: DataFrame) -> DataFrame:
-    """Uniform failure rows."""
-    return resolved_uris.where("failure is not null").select("uri", "namespace", "role", "profile", F.col("failure").alias("category"))
+    """Uniform failure rows: what was asked for, what was found, the category and a sentence."""
+    said = F.create_map(*[F.lit(x) for kv in DETAILS.items() for x in kv])
+    return resolved_uris.where("failure is not null").select("uri", "namespace", "role", "profile", F.col("failure").alias("category"), F.try_element_at(said, F.col("failure")).alias("detail"))
