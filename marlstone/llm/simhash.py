@@ -174,9 +174,11 @@ def link_edges(fps: DataFrame, distance: int = 2, hot_bucket: int = 1024) -> Dat
             return pa.RecordBatch.from_arrays([pa.array(f[joined]), pa.array(f[label[joined]])], names=["u", "v"])
 
         for batch in batches:
+            if not batch.num_rows:
+                continue
             held_b.append(batch.column("bucket").to_numpy())
             held_f.append(batch.column("fp").to_numpy())
-            if sum(map(len, held_b)) < 1 << 16:
+            if sum(map(len, held_b)) < 1 << 16 or held_b[0][0] == held_b[-1][-1]:  # one bucket may go on
                 continue
             b, f = np.concatenate(held_b), np.concatenate(held_f)
             cut = int(np.searchsorted(b, b[-1], "left"))  # the last bucket may go on

@@ -7,12 +7,17 @@ cluster its absence is an error, because executors can't read the driver's folde
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 _FALLBACK: dict[str, str] = {}
+#: Tables that are still stored; what results may be read from stays until the driver ends.
+_KEPT: set[str] = set()
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -41,7 +46,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Compute ``df`` once as a compressed table in the shared folder and read it from there.
 
-    The shuffle files of the computation go as soon as it has ended. ``discard`` removes the table.
+    The shuffle files of the computation go as soon as it has ended. ``discard`` removes the table,
+    and ``sweep`` what is left when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/marlstone-{name}-{uuid.uuid4().hex}"
@@ -51,6 +57,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEAN, before)
+    _KEPT.add(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
@@ -58,6 +65,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Remove what ``stored`` wrote; only when nothing that is still to run reads it."""
-    jvm = df.sparkSession.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(df._stored_at)
-    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _remove(df.sparkSession.sparkContext, df._stored_at)
+
+
+def _remove(sc: SparkContext, where: str) -> None:
+    path = sc._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    _KEPT.discard(where)
+
+
+@atexit.register
+def sweep() -> None:
+    """Remove all tables that are left when the driver ends."""
+    sc = SparkContext._active_spark_context
+    for where in sorted(_KEPT) if sc is not None and sc._jsc is not None else ():
+        with contextlib.suppress(Exception):  # the store may be gone before the driver
+            _remove(sc, where)
