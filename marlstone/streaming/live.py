@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,20 +67,17 @@ def sustained_breaches(events: DataFrame, limit: float, seconds: float) -> DataF
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        since, fired = state.get if state.exists else (-1.0, False)
+        began, fired = state.get if state.exists else (-1.0, False)
+        if fired:
+            return
         rows = pd.concat(list(batches)).sort_values(["t", "event_id"])
-        out = []
-        for t, value in zip(rows["t"], rows["value"]):
-            if fired:
-                break
-            if value < limit:
-                since = -1.0
-                continue
-            since = t if since < 0 else since
-            if t - since >= seconds:
-                out.append((key[0], t, since))
-                fired = True
-        state.update((float(since), bool(fired)))
+        t, over = rows["t"].to_numpy(), rows["value"].to_numpy() >= limit
+        starts = over & ~np.concatenate([[began >= 0], over[:-1]])
+        last = np.maximum.accumulate(np.where(starts, np.arange(len(t)), -1))
+        since = np.where(last >= 0, t[last], began)
+        hits = np.flatnonzero(over & (t - since >= seconds))
+        state.update((float(since[-1]) if over[-1] else -1.0, bool(len(hits))))
+        out = [(key[0], t[hits[0]], since[hits[0]])] if len(hits) else []
         yield pd.DataFrame(out, columns=["device", "fired_at", "since"])
 
     own = events.select(F.col("user_id").alias("device"), (F.unix_micros("ts") / 1e6).alias("t"), "event_id", "value")
