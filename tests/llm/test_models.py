@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 from fixtures import documents, prose
 from marlstone.llm import lm_scoring, quality_ordinal, sentencepieces, toxicity
-from marlstone.llm.attention import LENGTH, STRIDE, AttentionModel, windows
+from marlstone.llm.attention import LENGTH, STRIDE, AttentionModel, Reader, windows
 from pyspark.sql import functions as F
 
 
@@ -93,8 +93,15 @@ def test_attention_probabilities():
     m.settle(total)
     assert np.allclose(m.emitted.sum(axis=0), 1, atol=1e-4)
     i, t, _ = windows(*pack(seqs[:20]))
-    logs, start = m.each_log10(i, t, m.mass(np.ones(9, bool)))
+    logs, start = Reader(m).each_log10(i, t, m.mass(np.ones(9, bool)))
     assert np.allclose(start, 0, atol=1e-4) and logs.mean() > -0.35
+    pi = m.probabilities(i)
+    p = (pi * m.emitted[np.maximum(t.ravel(), 0)]).sum(axis=1)[t.ravel() >= 0]
+    assert np.allclose(logs, np.log10(p), atol=1e-4)
+    counted = np.zeros((9, 8))
+    Reader(m).tally(i, t, counted)
+    best = (pi * m.emitted[np.maximum(t.ravel(), 0)]).argmax(axis=1)
+    assert (counted == np.histogram2d(t.ravel()[t.ravel() >= 0], best[t.ravel() >= 0], (range(10), range(9)))[0]).all()
     i = i[i[:, -1] >= 0]
     late = i.copy()
     late[:, -1] = 3  # what comes later doesn't change what came before

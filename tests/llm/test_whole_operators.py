@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from fixtures import prose
 from marlstone.llm import decontaminate, lm_scoring
-from marlstone.llm.attention import LENGTH, STRIDE, windows
+from marlstone.llm.attention import LENGTH, STRIDE, Reader, windows
 from marlstone.llm.labelled import fold
 from pyspark.sql import functions as F
 from test_exact import contamination
@@ -68,7 +68,7 @@ def test_counts_and_distributions_learn_from_all_training_texts(spark):
     cut = lm_scoring.Pieces(proto.value)
     for t in training:
         inputs, targets, _ = windows(*cut.ids(*cut.numbers(pa.array([t]))), end)
-        model.tally(inputs, targets, total)
+        Reader(model).tally(inputs, targets, total)
     one = lm_scoring.settled(found, model).emitted.copy()
     model.settle(total)
     assert np.allclose(one, model.emitted, rtol=1e-3, atol=1e-9) and not np.allclose(one, before, rtol=1e-2)
