@@ -129,8 +129,10 @@ def progress_line(step: Column, steps: Column, loss: Column, cpu: Column, ram_by
 def without_fences(text: Column) -> Column:
     """The content of a fenced block, without the fence and its json tag."""
     bare = stripped(text)
-    inner = stripped(F.regexp_replace(bare, r"^`+(?:json)?|`+$", ""))
-    return F.when(F.startswith(bare, F.lit("```")), inner).otherwise(bare)
+    fence = F.lit("```")
+    inner = stripped(F.substring(bare, F.lit(4), F.length(bare) - 6))
+    inner = F.when(F.startswith(inner, F.lit("json")), stripped(F.substring(inner, F.lit(5), F.length(inner)))).otherwise(inner)
+    return F.when(F.startswith(bare, fence) & F.endswith(bare, fence) & (F.length(bare) >= 6), inner).otherwise(bare)
 
 
 def evidence_text(*fields: Column) -> Column:

@@ -32,8 +32,8 @@ def test_throughput(spark):
 
 
 def test_texts(spark):
-    df = spark.createDataFrame([("```json\n{}\n```",), (" {} ",), ("`x`",)], "t string")
-    assert [r[0] for r in df.select(text.without_fences(F.col("t"))).collect()] == ["{}", " {} ", "`x`"]
+    df = spark.createDataFrame([("```json\n{}\n```",), (" {} ",), ("`x`",), ("``` json {} ```\n",), ("```{}",)], "t string")
+    assert [r[0] for r in df.select(text.without_fences(F.col("t"))).collect()] == ["{}", "{}", "`x`", "{}", "```{}"]
     none = F.lit(None).cast("double")
     one = spark.range(1)
     assert one.select(text.loading_status(F.lit(19), F.lit(8267825971).cast("long"), F.lit(17), none, F.lit(52))).first()[0] == "19s | VRAM 7.7G | GPU 17% | 52C"
