@@ -82,7 +82,7 @@ def test_held_out_texts_score_above_the_base(spark):
     rows = [(k, " ".join(w for _ in range(40) for w in rng.choice(chains))) for k in range(300)]
     out = lm_scoring.scored(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
     held = [r for r in out if r.held_out]
-    assert len(held) > 25 and np.mean([(r.score - r.base_score) / r.n_tokens for r in held]) > 0.25
+    assert len(held) > 25 and np.mean([(r.score - r.base_score) / r.n_tokens for r in held]) > 0.3
     assert all(r.score < 0 for r in out)
 
 
