@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import decontaminate, lm_scoring, pii, quality_ordinal, quality_rules, sentencepieces, sharding, simhash, substrings, toxicity
+from marlstone.llm import conversations, decontaminate, fill_in_middle, lm_scoring, packing, pii, quality_ordinal, quality_rules, sentencepieces, sharding, simhash, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,22 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ordinal.graded(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "expected_grade", "tail_probability", "kept")
 
 
+def op11_linear_grouping_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.packed(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audited(_table(spark, sf_dir, "conversations"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transformed(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    restored = fill_in_middle.restored(F.col("output"), F.col("form"))
+    digests = [F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"), F.sha2(restored.cast("binary"), 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_lm_scoring": op2_lm_scoring,
@@ -80,6 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_kd_sharding": op9_kd_sharding,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_linear_grouping_packing": op11_linear_grouping_packing,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -111,4 +130,17 @@ n AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS kept FROM (
         SELECT d.doc_id, j, w[j] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(j)) q ANTI JOIN x USING (doc_id, j) GROUP BY doc_id)
 SELECT f.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM f LEFT JOIN n USING (doc_id)""",
+    "op13_fill_in_middle": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+n AS (SELECT doc_id, t, length(t) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+        CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS p, greatest(h1 % (n + 1), h2 % (n + 1)) AS m,
+        CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+             WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM n),
+o AS (SELECT *, substr(t, 1, p) AS a, substr(t, p + 1, m - p) AS b, substr(t, m + 1) AS z FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(p AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(m - p AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || b ELSE '<S>' || z || '<P>' || a || '<M>' || b END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM o""",
 }
