@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 #: White space as Python's strings have it: Unicode's, and four more controls (as ranges: a class of properties is slow).
 _SPACES = r"\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 _SPACE = f"[{_SPACES}]"
+#: The same characters one by one (a pattern that ends at the text's end tries every inner run of white space to its end).
+_EACH_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def stripped(text: Column) -> Column:
-    """Without white space of any kind at the ends; null stays null."""
-    return F.regexp_replace(text, rf"\A{_SPACE}+|{_SPACE}+\z", "")
+    """Without white space of any kind at the ends, in linear time; null stays null."""
+    return F.trim(text, F.lit(_EACH_SPACE))
 
 
 def is_blank(text: Column) -> Column:

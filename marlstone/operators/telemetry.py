@@ -122,12 +122,14 @@ def timeouts(df: DataFrame, limits: Mapping[str, float | None], no_step: float |
     """(key, value, limit) where a phase has lasted its limit, and where training made no step for ``no_step`` seconds.
 
     Columns read: phase, phase_seconds, and seconds_since_step (null: none to wait for). A phase
-    without a limit, or with a null one, can't time out.
+    without a limit, or with a null one, can't time out. The key is the phase's setting; training's
+    is the trial's.
     """
     on = {k: v for k, v in limits.items() if v is not None}
     limit = F.coalesce(*[F.when(F.col("phase") == k, F.lit(float(v))) for k, v in on.items()], F.lit(None).cast("double"))
+    key = F.concat(F.when(F.col("phase") == "training", "trial").otherwise(F.col("phase")), F.lit("_timeout_seconds"))
     one = lambda ok, key, value, most: F.when(ok, F.struct(F.lit(key).alias("key") if isinstance(key, str) else key.alias("key"), value.cast("double").alias("value"), most.alias("limit")))
-    found = [one(F.col("phase_seconds") >= limit, F.concat("phase", F.lit("_timeout_seconds")), F.col("phase_seconds"), limit)]
+    found = [one(F.col("phase_seconds") >= limit, key, F.col("phase_seconds"), limit)]
     if no_step is not None:
         late = (F.col("phase") == "training") & (F.col("seconds_since_step") >= no_step)
         found.append(one(late, "no_step_progress_timeout_seconds", F.col("seconds_since_step"), F.lit(float(no_step))))

@@ -9,6 +9,8 @@ from marlstone.operators import records
 from marlstone.operators import telemetry as tele
 from marlstone.operators import trials as tr
 from marlstone.plans import views as V
+from marlstone.sources.digests import digests
+from marlstone.streaming.live import checkpoint_location
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -156,9 +158,22 @@ def suite_metrics_backfill(spark, sf_dir):
     return out.withColumn("value", F.round("value", 6))
 
 
+@query("""WITH l AS (SELECT coalesce(conv_id // 1000, -1) AS part, conv_id, turn, CAST(to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text}) AS VARCHAR) AS line FROM conversations),
+f AS (SELECT part, string_agg(line || chr(10), '' ORDER BY conv_id, turn NULLS FIRST, line) AS body, count(*) AS line_count FROM l GROUP BY part)
+SELECT part, sha256(body) AS sha256, sha256(CAST(to_json(body) AS VARCHAR)) AS literal_sha256, CAST(strlen(body) AS BIGINT) AS size_bytes, line_count FROM f""")
+def dataset_digests(spark, sf_dir):
+    """Conversations written as JSONL datasets (a thousand conversations each), and the digests of what is stored."""
+    line = F.to_json(F.struct("conv_id", "turn", "role", "text"), {"ignoreNullFields": "false"})
+    lines = V.table(spark, sf_dir, "conversations").select(F.expr("coalesce(conv_id div 1000, -1)").alias("part"), "conv_id", "turn", line.alias("value"))
+    folder = checkpoint_location(spark, "datasets")
+    lines.repartition("part").sortWithinPartitions("part", "conv_id", "turn", "value").select("part", "value").write.partitionBy("part").option("lineSep", "\n").text(folder)
+    found = digests(spark, folder, by_folder=True)
+    return found.select(F.regexp_extract("source_uri", "part=([^/]+)$", 1).cast("long").alias("part"), "sha256", "literal_sha256", "size_bytes", "line_count")
+
+
 @query("""WITH p AS (SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'model_loading' WHEN 1 THEN 'training' ELSE 'post_training' END AS phase, value, CASE WHEN event_id % 4 <> 0 THEN value * 2 END AS since FROM events)
 SELECT event_id, 'model_loading_timeout_seconds' AS key, value, 50.0 AS "limit" FROM p WHERE phase = 'model_loading' AND value >= 50
-UNION ALL SELECT event_id, 'training_timeout_seconds', value, 60.0 FROM p WHERE phase = 'training' AND value >= 60 UNION ALL SELECT event_id, 'no_step_progress_timeout_seconds', since, 90.0 FROM p WHERE phase = 'training' AND since >= 90""")
+UNION ALL SELECT event_id, 'trial_timeout_seconds', value, 60.0 FROM p WHERE phase = 'training' AND value >= 60 UNION ALL SELECT event_id, 'no_step_progress_timeout_seconds', since, 90.0 FROM p WHERE phase = 'training' AND since >= 90""")
 def policy_timeouts(spark, sf_dir):
     e = V.table(spark, sf_dir, "events")
     k = F.col("event_id")

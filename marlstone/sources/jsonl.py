@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marlstone.functions.canon import string_literal_checksum
 from marlstone.functions.text import is_blank, stripped
 from marlstone.operators.records import PROMOTED, normalize_messages
 
@@ -80,14 +79,6 @@ def records(spark: SparkSession, *sources: str) -> DataFrame:
     )
 
 
-def verified(files: DataFrame, expected: dict[str, str]) -> DataFrame:
-    """Files (source_uri, text) whose string-literal checksum differs from the expected one by file name."""
-    want = F.create_map(*[F.lit(x) for kv in expected.items() for x in kv])
-    name = F.element_at(F.split("source_uri", "/"), -1)
-    got = string_literal_checksum(F.col("text"))
-    return files.select("source_uri", F.regexp_replace(want[name], "^sha256:", "").alias("want"), got.alias("got")).where("want is not null and want <> got")
-
-
 def capacity_records(spark: SparkSession, count: int, token_target: int) -> DataFrame:
     """Synthetic records with twice ``token_target`` words each."""
     word = lambda w: F.concat(F.lit("capacity_"), F.col("id").cast("string"), F.lit("_"), (w % 997).cast("string"))

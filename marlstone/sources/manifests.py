@@ -14,7 +14,7 @@ from marlstone.functions.text import is_blank
 from marlstone.lineage import checksum, manifest_checksum
 from marlstone.operators import evidence
 from marlstone.operators import records as R
-from marlstone.sources import jsonl
+from marlstone.sources import digests, jsonl
 from marlstone.sources.sinks import read_text
 
 #: The fields in which a package's reference equals the evaluation set's manifest.
@@ -90,7 +90,7 @@ def _checked_records(spark: SparkSession, dataset: dict[str, Any], sets: list[di
     lacking = [p for p, c in files.items() if not c]
     if lacking:
         raise ConstraintError(f"no records checksum for {lacking}")
-    require_none(jsonl.verified(jsonl.whole_files(spark, *files), {p.rsplit("/", 1)[-1]: c for p, c in files.items()}), "records checksum differs")
+    require_none(digests.differing(spark, files), "records checksum differs")
     raw = jsonl.records(spark, *files)
     require_none(raw.where("error is not null").select("error"), "records that are no JSON objects")
     own = R.with_metadata(raw)

@@ -41,8 +41,7 @@ def put_predictions(rows: DataFrame, path: str) -> str:
     """Prediction rows as JSONL, ordered by record id; returns their digest. A later call replaces them."""
     line = F.to_json(F.struct(*[F.col(c) for c in sorted(rows.columns)]), {"ignoreNullFields": "false"})
     lines = rows.select("dataset_record_id", line.alias("line"))
-    lines.orderBy("dataset_record_id", "line").select(F.col("line").alias("value")).write.mode("overwrite").text(path)
-    return sinks.jsonl_digest(lines, ("dataset_record_id",), "line")
+    return sinks.put_jsonl(lines, path, ["dataset_record_id"], replace=True)
 
 
 def bundle_files(spark: SparkSession, folder: str, manifest_uri: str) -> DataFrame:
@@ -104,7 +103,7 @@ def completed_run(spark: SparkSession, root: str, ids: LineageIds) -> dict[str,
 def finalize_evaluation(spark: SparkSession, root: str, artifacts: Mapping[str, str], extra: Mapping[str, Any]) -> dict[str, str]:
     """Checksums of all artifacts (name to path), computed from what is stored, then the terminal manifest."""
     found = {r.path: r.sha256 for r in sinks.file_checksums(spark, *artifacts.values()).collect()}
-    by_name = {name: next((h for p, h in found.items() if p.endswith(path.rsplit("/", 1)[-1])), None) for name, path in artifacts.items()}
+    by_name = {name: found.get(sinks.qualified(spark, path)) for name, path in artifacts.items()}
     missing = sorted(k for k, v in by_name.items() if v is None)
     if missing:
         raise ConstraintError(f"artifacts aren't stored: {missing}")

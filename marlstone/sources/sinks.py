@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.lineage import checksum, stable_json
+from marlstone.sources.digests import EMPTY, digests
 
 
 class WriteConflict(ValueError):
@@ -43,8 +44,20 @@ def read_text(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 
 
+def _rename(spark: SparkSession, source: str, target: str, replace: bool = False) -> None:
+    """Atomically where the store can; an error if the target is there, unless it is a file to be replaced."""
+    sc = spark.sparkContext
+    src, _ = _fs(spark, source)
+    dst, fs = _fs(spark, target)
+    option = getattr(sc._jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = sc._gateway.new_array(option, 1)
+    options[0] = option.OVERWRITE if replace else option.NONE
+    context = sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(src), fs.makeQualified(dst), options)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Atomically: under another name first, then renamed."""
+    """Under another name first, then renamed over what is there: readers see the old text or the new one."""
     p, fs = _fs(spark, path)
     temporary, _ = _fs(spark, f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(temporary, True)
@@ -52,9 +65,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(text.encode())
     finally:
         out.close()
-    fs.delete(p, False)
-    if not fs.rename(temporary, p):
-        raise OSError(f"could not write {path}")
+    _rename(spark, temporary.toString(), path, replace=True)
 
 
 def put_json(spark: SparkSession, path: str, value: Any) -> str:
@@ -74,24 +85,68 @@ def file_checksums(spark: SparkSession, *paths: str) -> DataFrame:
     return files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("size_bytes"))
 
 
-def jsonl_digest(df: DataFrame, order: Sequence[str], json_column: str) -> str:
-    """An order-sensitive digest of a dataset: the hash of its sorted rows' hashes."""
-    rows = df.select(F.sha2(json_column, 256).alias("h"))
-    total = rows.agg(F.count("*"), F.bit_xor(F.xxhash64("h")), F.sum(F.xxhash64("h").cast("decimal(38,0)"))).first()
-    return checksum([str(x) for x in total] + list(order))
+#: What a committed dataset says of itself; Spark's readers pass over names that begin so.
+MANIFEST = "_manifest.json"
+
+
+def dataset_manifest(spark: SparkSession, path: str) -> dict[str, Any] | None:
+    """The manifest of a committed dataset: sha256, size_bytes, line_count and parts in order; None if there is none."""
+    p, fs = _fs(spark, f"{path}/{MANIFEST}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
 
+def verified_dataset(spark: SparkSession, path: str) -> dict[str, Any]:
+    """The manifest of a dataset whose stored parts, in order, still have its digest; anything else is an error."""
+    manifest = dataset_manifest(spark, path)
+    if manifest is None:
+        raise WriteConflict(f"{path}: no committed dataset")
+    found = _described(spark, path)
+    if found != manifest:
+        raise WriteConflict(f"{path}: what is stored differs from its manifest")
+    return manifest
 
-def put_jsonl(df: DataFrame, path: str, order: Sequence[str], json_column: str = "line") -> str:
-    """Write-once JSONL in ``order``: parts are ranges, so read by name they are the ordered file."""
+
+def _described(spark: SparkSession, folder: str) -> dict[str, Any]:
+    p, fs = _fs(spark, folder)
+    parts = sorted(name for name in (f.getPath().getName() for f in fs.listStatus(p)) if name.startswith("part-"))
+    row = digests(spark, folder, by_folder=True).first()
+    found = EMPTY if row is None else row.asDict()
+    return {k: found[k] for k in ("sha256", "size_bytes", "line_count")} | {"parts": parts}
+
+
+def put_jsonl(df: DataFrame, path: str, order: Sequence[str], json_column: str = "line", replace: bool = False) -> str:
+    """Write-once JSONL in ``order`` (then by line): parts are ranges, so read by name they are the ordered file.
+
+    The parts are written to a folder beside the target, described by a manifest with the SHA-256
+    of their bytes in order, and committed by one rename; a write that fails leaves nothing. The same
+    lines again are a no-op; others are an error, or with ``replace`` take the place of the old ones,
+    which are set aside until the new ones are there. Returns the digest.
+    """
     spark = df.sparkSession
-    digest = jsonl_digest(df, order, json_column)
-    if exists(spark, f"{path}.digest"):
-        if read_text(spark, f"{path}.digest") != digest:
+    staged = f"{path}.{uuid.uuid4().hex}.tmp"
+    p, fs = _fs(spark, staged)
+    try:
+        df.orderBy(*order, json_column).select(F.col(json_column).alias("value")).write.option("lineSep", "\n").text(staged)
+        made = _described(spark, staged)
+        there = exists(spark, path)
+        if there and (dataset_manifest(spark, path) or {}).get("sha256") == made["sha256"]:
+            return made["sha256"]
+        if there and not replace:
             raise WriteConflict(path)
-        return digest
-    df.orderBy(*order).select(F.col(json_column).alias("value")).write.mode("overwrite").text(path)
-    write_text(spark, f"{path}.digest", digest)
-    return digest
+        write_text(spark, f"{staged}/{MANIFEST}", stable_json(made))
+        if there:
+            _rename(spark, path, f"{staged}.old")
+        _rename(spark, staged, path)
+        fs.delete(p.suffix(".old"), True)
+    finally:
+        fs.delete(p, True)
+    return made["sha256"]
 
 
 def append_attempts(df: DataFrame, path: str) -> None:
