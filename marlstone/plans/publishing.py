@@ -158,13 +158,13 @@ def suite_metrics_backfill(spark, sf_dir):
     return out.withColumn("value", F.round("value", 6))
 
 
-@query("""WITH l AS (SELECT coalesce(conv_id // 1000, -1) AS part, conv_id, turn, CAST(to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text}) AS VARCHAR) AS line FROM conversations),
+@query("""WITH l AS (SELECT coalesce(conv_id // 100, -1) AS part, conv_id, turn, CAST(to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text}) AS VARCHAR) AS line FROM conversations),
 f AS (SELECT part, string_agg(line || chr(10), '' ORDER BY conv_id, turn NULLS FIRST, line) AS body, count(*) AS line_count FROM l GROUP BY part)
 SELECT part, sha256(body) AS sha256, sha256(CAST(to_json(body) AS VARCHAR)) AS literal_sha256, CAST(strlen(body) AS BIGINT) AS size_bytes, line_count FROM f""")
 def dataset_digests(spark, sf_dir):
-    """Conversations written as JSONL datasets (a thousand conversations each), and the digests of what is stored."""
+    """Conversations written as JSONL datasets (a hundred conversations each), and the digests of what is stored."""
     line = F.to_json(F.struct("conv_id", "turn", "role", "text"), {"ignoreNullFields": "false"})
-    lines = V.table(spark, sf_dir, "conversations").select(F.expr("coalesce(conv_id div 1000, -1)").alias("part"), "conv_id", "turn", line.alias("value"))
+    lines = V.table(spark, sf_dir, "conversations").select(F.expr("coalesce(conv_id div 100, -1)").alias("part"), "conv_id", "turn", line.alias("value"))
     folder = checkpoint_location(spark, "datasets")
     lines.repartition("part").sortWithinPartitions("part", "conv_id", "turn", "value").select("part", "value").write.partitionBy("part").option("lineSep", "\n").text(folder)
     found = digests(spark, folder, by_folder=True)
