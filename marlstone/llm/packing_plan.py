@@ -24,6 +24,8 @@ from dataclasses import dataclass, field
 import numpy as np
 
 GAP = 5e-4
+#: The programme also ends when so many steps have lowered its total by less than a quarter of ``GAP``.
+STALLED = 200
 
 
 @dataclass
@@ -104,28 +106,34 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, room: int, most_steps:
     if not len(sizes):
         return []
     columns = np.diag((room // sizes).astype(float))
-    inverse = np.linalg.inv(columns)
-    share = inverse @ demand
+    inverse = np.diag(1 / np.diag(columns))  # sums in place of BLAS here: its threads were seen to hang in the driver's process
+    # Groups of equal cardinality make a degenerate programme; unequal demands keep it from going round in circles.
+    demand = demand * (1 + 1e-4 * np.random.default_rng(0).random(len(sizes)))
+    share = (inverse * demand).sum(axis=1)
+    before = share.sum()
     for step in range(most_steps):
+        if step % STALLED == STALLED - 1:
+            if before - share.sum() < GAP / 4 * before:
+                break
+            before = share.sum()
         prices = np.maximum(inverse.sum(axis=0), 0)
         entering = _best_configuration(sizes, prices, room)
         worth = float(prices @ entering)
         if worth <= 1 + GAP:  # total / worth is a lower bound
             break
-        way = inverse @ entering
+        way = (inverse * entering).sum(axis=1)
         ratio = np.where(way > 1e-9, share / np.where(way > 1e-9, way, 1), np.inf)
         leaving = int(ratio.argmin())
         theta = ratio[leaving]
         share = share - theta * way
         share[leaving] = theta
         columns[:, leaving] = entering
-        if step % 100 == 99:
-            inverse = np.linalg.inv(columns)
-            share = np.maximum(inverse @ demand, 0)
-        else:
-            row = inverse[leaving] / way[leaving]
-            inverse = inverse - np.outer(way, row)
-            inverse[leaving] = row
+        row = inverse[leaving] / way[leaving]
+        inverse = inverse - np.outer(way, row)
+        inverse[leaving] = row
+        if step % 100 == 99:  # a step of Newton's takes the rounding errors out
+            inverse = 2 * inverse - np.einsum("ij,jk->ik", inverse, np.einsum("ij,jk->ik", columns, inverse))
+            share = np.maximum((inverse * demand).sum(axis=1), 0)
     return [(columns[:, k], float(share[k])) for k in range(len(sizes)) if share[k] > 1e-9]
 
 
