@@ -104,9 +104,9 @@ class Judge(Protocol):
 
 
 def judged_by(requests: DataFrame, make: Callable[[], Judge], context_tokens: int, output_tokens: int) -> DataFrame:
-    """(request_id, response, reason): one judge a task, taken and released; requests beyond the context aren't sent.
+    """(request_id, response, reason, detail): one judge a task, taken and released; requests beyond the context aren't sent.
 
-    A failure of one request is its reason, and the others go on.
+    A failure of one request is its reason, with the exception's class and message, and the others go on.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -116,18 +116,19 @@ def judged_by(requests: DataFrame, make: Callable[[], Judge], context_tokens: in
             for b in batches:
                 rows = []
                 for request, messages in zip(b["request_id"], b["messages"]):
-                    if client.count_tokens(messages) + output_tokens > context_tokens:
-                        rows.append((request, None, "token_budget_exceeded"))
+                    tokens = client.count_tokens(messages)
+                    if tokens + output_tokens > context_tokens:
+                        rows.append((request, None, "token_budget_exceeded", f"{tokens} tokens and {output_tokens} of output, {context_tokens} allowed"))
                         continue
                     try:
-                        rows.append((request, client.judge(messages), None))
-                    except Exception:  # noqa: BLE001  a row, not the task, has failed
-                        rows.append((request, None, "judge_request_failed"))
-                yield pd.DataFrame(rows, columns=["request_id", "response", "reason"])
+                        rows.append((request, client.judge(messages), None, None))
+                    except Exception as e:  # noqa: BLE001  a row, not the task, has failed
+                        rows.append((request, None, "judge_request_failed", f"{type(e).__name__}: {e}"[:1000]))
+                yield pd.DataFrame(rows, columns=["request_id", "response", "reason", "detail"])
         finally:
             client.release()
 
-    return requests.select("request_id", "messages").mapInPandas(run, "request_id string, response string, reason string")
+    return requests.select("request_id", "messages").mapInPandas(run, "request_id string, response string, reason string, detail string")
 
 
 def judged(requests: DataFrame, judge: Callable[[str], str]) -> DataFrame:

@@ -40,6 +40,24 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """One rename; an error if the target is there. The target's folder is made."""
+    p, fs = _fs(spark, target)
+    fs.mkdirs(p.getParent())
+    _rename(spark, source, target)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it isn't there."""
+    p, fs = _fs(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 
