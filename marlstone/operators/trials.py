@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from typing import Any
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,39 +93,3 @@ def longest_prefix(paths: DataFrame, mounts: DataFrame) -> DataFrame:
 def capped(combinations: DataFrame, max_trials: int) -> DataFrame:
     """The first ``max_trials`` combinations by position."""
     return combinations.orderBy("position").limit(max_trials)
-
-
-def staged_search(models: Sequence[Any], axes: Mapping[str, Sequence[Any]], run: Callable[[Any, dict[str, Any]], str], max_trials: int = 100) -> tuple[list[dict[str, Any]], list[dict[str, Any]]]:
-    """(trials, pruned candidates) of a search over one axis after the other, for each model.
-
-    ``run`` gets a model and a configuration and returns a status. An axis ends at its first
-    failure; the next one starts from the last safe configuration. What comes after a timeout is
-    pruned, on all later axes as well if the least configuration timed out. A model whose least
-    configuration fails is given up. Trials are few and each depends on the one before.
-    """
-    trials: list[dict[str, Any]] = []
-    pruned: list[dict[str, Any]] = []
-    for model in dict.fromkeys(models):
-        now = {axis: values[0] for axis, values in axes.items()}
-        safe: dict[str, Any] | None = None
-        for number, (axis, values) in enumerate(axes.items()):
-            own = list(dict.fromkeys(values))
-            for k, value in enumerate(own):
-                if safe is not None and now[axis] == value:
-                    continue
-                if len(trials) >= max_trials:
-                    return trials, pruned
-                tried = {**now, axis: value}
-                status = run(model, tried)
-                trials.append({"trial_number": len(trials) + 1, "model": model, "axis": axis, "configuration": tried, "status": status, "last_safe": None if safe is None else safe[axis]})
-                if status == "completed":
-                    now = safe = tried
-                    continue
-                if status == "timeout":
-                    pruned += [{"model": model, "axis": axis, "candidate": c, "reason": "beyond a timeout"} for c in own[k + 1 :]]
-                    if safe is None:
-                        pruned += [{"model": model, "axis": a, "candidate": c, "reason": "least configuration timed out"} for a in list(axes)[number + 1 :] for c in dict.fromkeys(axes[a])]
-                break
-            if safe is None:
-                break
-    return trials, pruned

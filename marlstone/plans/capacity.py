@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marlstone.functions import text
+from marlstone.operators import search
 from marlstone.operators import telemetry as tele
 from marlstone.operators import trials as tr
 from marlstone.plans import views as V
@@ -130,24 +131,97 @@ def latest_safe(spark, sf_dir):
     return tr.latest_safe(V.trials(spark, sf_dir), "trial_id", "size")
 
 
-_GRID = "grid AS (SELECT m AS model, b AS batch, r AS rank, (m - 1) AS model_index, (b - 1) AS batch_index, (r - 1) AS rank_index, row_number() OVER (ORDER BY m, b, r) AS position FROM range(1, 4) t1(m), range(1, 6) t2(b), range(1, 5) t3(r))"
+_GRID = """models AS (SELECT model, row_number() OVER (ORDER BY model) - 1 AS model_index FROM (SELECT DISTINCT p_brand AS model FROM part)),
+sizes AS (SELECT size, row_number() OVER (ORDER BY size) - 1 AS size_index FROM (SELECT DISTINCT p_size AS size FROM part)),
+grid AS (SELECT *, row_number() OVER (ORDER BY model_index, size_index) AS position FROM models, sizes)"""
+
+
+def _grid(spark, sf_dir):
+    """All brands with all sizes: the candidate lists are the tables' distinct values, in order."""
+    p = V.table(spark, sf_dir, "part")
 
+    def axis(column, name):
+        rank = F.row_number().over(Window.orderBy(name)) - 1  # one row a candidate
+        return p.select(F.col(column).alias(name)).distinct().withColumn(f"{name}_index", rank)
 
-def _grid(spark):
-    axis = lambda n, k: spark.range(1, k + 1).select(F.col("id").alias(n), (F.col("id") - 1).alias(f"{n}_index"))
-    return tr.grid(axis("model", 3), axis("batch", 5), axis("rank", 4))
+    return tr.grid(axis("p_brand", "model"), axis("p_size", "size"))
 
 
-@query(f"WITH {_GRID} SELECT model, batch, rank, CAST(position AS INT) AS position FROM grid")
+@query(f"WITH {_GRID} SELECT model, size, CAST(position AS INT) AS position FROM grid")
 def grid_product(spark, sf_dir):
-    return _grid(spark).select("model", "batch", "rank", "position")
+    return _grid(spark, sf_dir).select("model", "size", "position")
 
 
-@query(f"WITH {_GRID}, b AS (SELECT * FROM grid WHERE model + batch + rank = 7) SELECT model, batch, rank FROM grid g WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.model = g.model AND b.batch = g.batch AND g.position > b.position AND g.rank_index >= b.rank_index)")
+@query(f"""WITH {_GRID}, {V.TRIALS_SQL.strip()}, b AS (SELECT DISTINCT g.* FROM grid g JOIN trials t ON t.model = g.model AND t.size = g.size WHERE t.status = 'timeout')
+SELECT model, size FROM grid g WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.model = g.model AND g.position > b.position AND g.size_index >= b.size_index)""")
 def grid_pruned(spark, sf_dir):
-    g = _grid(spark)
-    kept, _ = tr.pruned(g, g.where("model + batch + rank = 7"), ("model", "batch"), "rank_index")
-    return kept.select("model", "batch", "rank")
+    """Combinations that no recorded timeout of the model rules out."""
+    g = _grid(spark, sf_dir)
+    lost = V.trials(spark, sf_dir).where("status = 'timeout'").select("model", "size").distinct()
+    kept, _ = tr.pruned(g, g.join(lost, ["model", "size"], "left_semi"), ("model",), "size_index")
+    return kept.select("model", "size")
+
+
+_SEARCHED = """WITH {0}, b AS (SELECT t.*, (SELECT min(b.trial_number) FROM trials b WHERE b.model = t.model AND b.status = 'timeout' AND b.size <= t.size AND b.trial_number < t.trial_number) AS edge FROM trials t),
+n AS (SELECT *, count(*) FILTER (WHERE edge IS NULL) OVER (ORDER BY trial_number) AS upto FROM b),
+s AS (SELECT *, CASE WHEN upto - CAST(edge IS NULL AS INT) >= {1} THEN 'not_reached' WHEN edge IS NULL THEN 'run' ELSE 'pruned' END AS state FROM n)
+SELECT trial_id, s.state, CASE WHEN s.state = 'run' THEN upto END AS number, CASE WHEN s.state = 'pruned' THEN edge END AS boundary_position, CASE WHEN s.state = 'pruned' THEN (SELECT size FROM trials x WHERE x.trial_number = s.edge) END AS boundary_size FROM s"""
+
+
+def _searched(spark, sf_dir, cap):
+    own = V.trials(spark, sf_dir).select("trial_id", "model", "size", F.col("trial_number").alias("position"), "status")
+    found = search.grid_search(own, ["model"], "size", cap)
+    return found.select("trial_id", "state", F.col("trial_number").alias("number"), "boundary_position", F.col("boundary_index").alias("boundary_size"))
+
+
+@query(_SEARCHED.format(V.TRIALS_SQL.strip(), 10**9))
+def grid_searched(spark, sf_dir):
+    """All parts as a grid in order of their keys: the boundaries are what times out on the way."""
+    return _searched(spark, sf_dir, None)
+
+
+@query(_SEARCHED.format(V.TRIALS_SQL.strip(), 60))
+def grid_searched_capped(spark, sf_dir):
+    """The same search with at most 60 trials."""
+    return _searched(spark, sf_dir, 60)
+
+
+#: The staged search's axes, slowest first.
+AXES = {"length": [1, 2, 4, 8], "batch": [1, 2, 3], "rank": [8, 16]}
+
+
+def _staged_sql() -> str:
+    """One part a model; each axis in turn, from the last safe configuration of those before."""
+    names = list(AXES)
+    status = "CASE (k * 7 + length * 3 + batch * 5 + rank) % 10 WHEN 9 THEN 'threshold_reached' WHEN 8 THEN 'timeout' WHEN 7 THEN 'timeout' ELSE 'completed' END"
+    out = ["s0 AS (SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS model, p_partkey AS k, FALSE AS gone, FALSE AS least, " + ", ".join(f"{v[0]} AS {a}" for a, v in AXES.items()) + " FROM part)"]
+    for n, (axis, values) in enumerate(AXES.items()):
+        listed = ", ".join(f"({k}, {v})" for k, v in enumerate(values))
+        out.append(f"c{n} AS (SELECT model, k, gone, least, {', '.join('v AS ' + a if a == axis else a for a in names)}, ordinal FROM s{n}, (VALUES {listed}) o(ordinal, v) WHERE NOT gone AND ordinal >= {min(n, 1)})")
+        out.append(f"d{n} AS (SELECT *, {status} AS status FROM c{n})")
+        out.append(f"e{n} AS (SELECT s.*, (SELECT min(ordinal) FROM d{n} d WHERE d.model = s.model AND d.status <> 'completed') AS fail FROM s{n} s)")
+        out.append(f"f{n} AS (SELECT e.*, (SELECT status FROM d{n} d WHERE d.model = e.model AND d.ordinal = e.fail) AS why FROM e{n} e)")
+        at = lambda k: f"CAST(list_extract({values}, CAST({k} AS INT)) AS VARCHAR)"  # noqa: E731, B023  counted from 1
+        out.append(f"""r{n} AS (SELECT d.model, '{axis}' AS axis, {n} AS axis_number, d.ordinal, {at("d.ordinal + 1")} AS candidate, CASE WHEN f.fail IS NULL OR d.ordinal <= f.fail THEN 'tried' ELSE 'pruned' END AS state,
+  CASE WHEN f.fail IS NULL OR d.ordinal <= f.fail THEN d.status END AS status, CASE WHEN least(d.ordinal, coalesce(f.fail, 99)) > 0 THEN {at("least(d.ordinal, coalesce(f.fail, 99))")} END AS last_safe, CASE WHEN d.ordinal > f.fail THEN {at("f.fail + 1")} END AS boundary
+  FROM d{n} d JOIN f{n} f USING (model) WHERE f.fail IS NULL OR d.ordinal <= f.fail OR f.why = 'timeout'
+  UNION ALL SELECT model, '{axis}', {n}, ordinal, CAST(v AS VARCHAR), 'pruned', NULL, NULL, NULL FROM s{n}, (VALUES {listed}) o(ordinal, v) WHERE least)""")
+        safe = f"list_extract({values}, CAST(greatest(coalesce(fail, {len(values)}), 1) AS INT))"
+        gone = "coalesce(fail = 0, FALSE) AS gone, coalesce(fail = 0 AND why = 'timeout', FALSE) AS least" if n == 0 else "gone, least"
+        out.append(f"s{n + 1} AS (SELECT model, k, {gone}, {', '.join(f'{safe} AS {a}' if a == axis else a for a in names)} FROM f{n})")
+    rows = " UNION ALL ".join(f"SELECT * FROM r{n}" for n in range(len(names)))
+    return f"WITH {', '.join(out)}, r AS ({rows}) SELECT *, count(*) FILTER (WHERE state = 'tried') OVER (PARTITION BY model ORDER BY axis_number, ordinal) AS trial_number FROM r"
+
+
+@query(_staged_sql())
+def staged_searched(spark, sf_dir):
+    """A staged search for each part, over outcomes of all its configurations."""
+    out = V.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("model"), F.col("p_partkey").alias("k")).distinct()
+    for axis, values in AXES.items():
+        out = out.withColumn(axis, F.explode(F.array(*[F.lit(v) for v in values])))
+    k = (F.col("k") * 7 + F.col("length") * 3 + F.col("batch") * 5 + F.col("rank")) % 10
+    status = F.when(k == 9, "threshold_reached").when(k >= 7, "timeout").otherwise("completed")
+    return search.staged_search(out.withColumn("status", status), AXES)
 
 
 @query(f"""WITH {V.TRIALS_SQL}, o AS (SELECT model, kind AS axis, size AS ordinal, min(status) AS status FROM trials GROUP BY ALL), f AS (SELECT model, axis, min(ordinal) FILTER (WHERE status <> 'completed') AS first_failure FROM o GROUP BY ALL)

@@ -199,11 +199,11 @@ def device_peaks(spark, sf_dir):
     return tele.device_peaks(e).select(*[F.round(c, 4).alias(c) for c in ("gpu_memory_peak_percent", "gpu_power_peak_watts", "system_ram_peak_percent")])
 
 
-@query("SELECT CAST((i - 1) // 20 + 1 AS BIGINT) AS model, CAST(((i - 1) // 4) % 5 + 1 AS BIGINT) AS batch, CAST((i - 1) % 4 + 1 AS BIGINT) AS rank FROM range(1, 26) t(i)")
+@query("""SELECT model, size FROM (SELECT DISTINCT p_brand AS model FROM part), (SELECT DISTINCT p_size AS size FROM part) ORDER BY model, size LIMIT 25""")
 def grid_capped(spark, sf_dir):
     from marlstone.plans.capacity import _grid
 
-    return tr.capped(_grid(spark), 25).select("model", "batch", "rank")
+    return tr.capped(_grid(spark, sf_dir), 25).select("model", "size")
 
 
 @query("""WITH e AS (SELECT event_id, value FROM events), x AS (SELECT event_id AS step, unnest(['live.steps', 'live.tokens', 'live.elapsed', 'live.steps_per_second', 'live.tokens_per_second']) AS name,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marlstone import lineage
 from marlstone.checks import ConstraintError
-from marlstone.operators import evidence, pairing, publication, telemetry, trials
+from marlstone.operators import evidence, pairing, publication, telemetry
 from marlstone.sources import logs, publications, sinks
 from marlstone.streaming import live
 
@@ -83,24 +83,6 @@ def test_checked_pairs_and_evidence(spark):
         evidence.checked_lookup(want("1", "2"), items)
 
 
-def test_staged_search():
-    axes = {"length": [1, 2, 4, 4], "batch": [1, 2], "rank": [8, 16]}
-
-    def run(model, c):
-        if model == "none":
-            return "timeout"
-        if model == "small" and c["length"] == 4:
-            return "timeout"
-        return "threshold_reached" if c["batch"] == 2 else "completed"
-
-    done, pruned = trials.staged_search(["small", "none", "small"], axes, run)
-    mine = [(t["axis"], t["configuration"][t["axis"]], t["status"], t["last_safe"]) for t in done if t["model"] == "small"]
-    assert mine == [("length", 1, "completed", None), ("length", 2, "completed", 1), ("length", 4, "timeout", 2), ("batch", 2, "threshold_reached", 1), ("rank", 16, "completed", 8)]
-    assert done[-1]["model"] == "none" and done[4]["configuration"] == {"length": 2, "batch": 1, "rank": 16}
-    assert {(p["axis"], p["candidate"]) for p in pruned if p["model"] == "none"} == {("length", 2), ("length", 4), ("batch", 1), ("batch", 2), ("rank", 8), ("rank", 16)}
-    assert len(trials.staged_search(["small"], axes, run, max_trials=2)[0]) == 2
-
-
 def test_ranked_values(spark):
     rows = [("a", float(x)) for x in (5, -3, 0, 0, 7.5, 1e-9, -1e12, 2)] + [(None, 1.0), (None, 1.0), ("z", None)]
     df = spark.createDataFrame(rows, "k string, v double")
