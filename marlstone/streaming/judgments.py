@@ -102,13 +102,13 @@ def _todo(spark: SparkSession, root: str, pairs: DataFrame, run_id: str, max_ret
 def _answer(spark: SparkSession, judge: Judge, root: str, folder: str, number: int) -> None:
     """Ask the judge for a committed round of requests, and commit the outcomes: exactly one for each request."""
     asked = spark.read.schema(f"{_REQUEST}, messages string").parquet(f"{root}/requests/{folder}/round={number}")
-    said = judge(asked).groupBy("request_id").agg(F.min(F.struct("reason", "response", "detail")).alias("a"))
+    checked = judge(asked).withColumn("error", judging.judgment_error(F.col("response")))  # once, before the grouping
+    said = checked.groupBy("request_id").agg(F.min(F.struct("reason", "response", "error", "detail")).alias("a"))
     met = asked.drop("messages").join(said, "request_id", "left")
-    error = judging.judgment_error(F.col("a.response"))
-    reason = F.when(F.col("a").isNull(), "no_judge_response").when(F.col("a.reason").isNotNull(), F.col("a.reason")).when(error.isNotNull(), "malformed_judge_response")
-    found = met.withColumn("why", reason).withColumn("error", F.when(F.col("why") == "malformed_judge_response", error))
-    kept = F.when(F.col("why").isNull(), F.col("a.response"))
-    rows = found.select("request_id", *KEYS, "attempt", kept.alias("response"), F.col("why").alias("reason"), F.coalesce("error", "a.detail").alias("detail"))
+    reason = F.when(F.col("a").isNull(), "no_judge_response").when(F.col("a.reason").isNotNull(), F.col("a.reason")).when(F.col("a.error").isNotNull(), "malformed_judge_response")
+    kept = F.when(reason.isNull(), F.col("a.response"))
+    detail = F.when(F.col("a.reason").isNull(), F.col("a.error"))
+    rows = met.select("request_id", *KEYS, "attempt", kept.alias("response"), reason.alias("reason"), F.coalesce(detail, "a.detail").alias("detail"))
     _put(rows, root, f"outcomes/{folder}/round={number}")
 
 
