@@ -88,8 +88,20 @@ def evaluation_view(manifests: DataFrame) -> DataFrame:
 
 
 def attempt_rows(attempts: DataFrame) -> DataFrame:
-    """Stored attempts, each request once, in the order of their request ids."""
-    return attempts.dropDuplicates(["request_id"]).orderBy(F.coalesce("request_id", F.lit("")))
+    """Stored attempts in the order of their request ids, each request once.
+
+    Of a request's differing rows the first by their text as JSON counts; ``conflicting_attempts`` tells of the others.
+    """
+    text = F.to_json(F.struct(*attempts.columns), {"ignoreNullFields": "false"})
+    first = attempts.groupBy("request_id").agg(F.min_by(F.struct(*attempts.columns), text).alias("first"))
+    return first.select("first.*").orderBy(F.coalesce("request_id", F.lit("")))
+
+
+def conflicting_attempts(attempts: DataFrame) -> DataFrame:
+    """Requests that are stored with different contents: how many contents and rows."""
+    text = F.to_json(F.struct(*attempts.columns), {"ignoreNullFields": "false"})
+    by_content = attempts.groupBy("request_id", F.sha2(text, 256).alias("content")).agg(F.count("*").alias("n"))
+    return by_content.groupBy("request_id").agg(F.count("*").alias("contents"), F.sum("n").alias("rows")).where("contents > 1")
 
 
 def distinct_identities(df: DataFrame, *columns: str, keys: Sequence[str] = ()) -> DataFrame:

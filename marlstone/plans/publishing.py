@@ -138,6 +138,14 @@ def attempt_rows(spark, sf_dir):
     return pub.attempt_rows(rows)
 
 
+@query("""SELECT 'jreq-' || (doc_id // 3) AS request_id, count(DISTINCT (quality, toxic)) AS contents, count(*) AS "rows" FROM labels WHERE doc_id IS NOT NULL GROUP BY 1 HAVING contents > 1""")
+def attempt_conflicts(spark, sf_dir):
+    """Requests that were stored up to three times, where what was stored differs."""
+    labels = V.table(spark, sf_dir, "labels").where("doc_id is not null")
+    rows = labels.select(F.concat(F.lit("jreq-"), F.expr("doc_id div 3").cast("string")).alias("request_id"), "quality", "toxic")
+    return pub.conflicting_attempts(rows)
+
+
 @query(f"""WITH {V.EVIDENCE_SQL} SELECT record_id, string_agg(evidence_id || ':' || content_sha256, ',' ORDER BY pos) AS stored FROM met WHERE content_sha256 IS NOT NULL GROUP BY record_id""")
 def stored_evidence(spark, sf_dir):
     from marlstone.operators import evidence

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.lineage import checksum, stable_json
+from marlstone.operators.publication import attempt_rows
 from marlstone.sources.digests import EMPTY, digests
 
 
@@ -168,9 +169,9 @@ def put_jsonl(df: DataFrame, path: str, order: Sequence[str], json_column: str =
 
 
 def append_attempts(df: DataFrame, path: str) -> None:
-    """Attempts by candidate; a request id that is stored already is not written again."""
+    """Attempts by candidate; a request id that is stored already is not written again. Of differing rows the first counts."""
     spark = df.sparkSession
-    new = df.dropDuplicates(["request_id"])
+    new = attempt_rows(df)
     if exists(spark, path):
         new = new.join(spark.read.parquet(path).select("request_id"), "request_id", "left_anti")
     new.write.mode("append").partitionBy("candidate_id").parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -116,8 +117,8 @@ def refreshed(trials: DataFrame, report: Callable[[DataFrame, int], None], where
     def each(batch: DataFrame, number: int) -> None:
         try:
             report(batch, number)
-        except Exception as e:  # noqa: BLE001  the accounting goes on
-            print(f"report of batch {number} failed: {e}")
+        except Exception:  # noqa: BLE001  the accounting goes on
+            logging.getLogger(__name__).warning("report of batch %s failed", number, exc_info=True)
 
     return trials.writeStream.foreachBatch(each).option("checkpointLocation", where).trigger(availableNow=True).start()
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryException
 
+from marlstone.operators import publication
 from marlstone.plans.recovery import _verdict
 from marlstone.sources import sinks
 from marlstone.sources.keyed import KeyedTable
@@ -158,3 +159,14 @@ def test_retries_and_cases(spark, tmp_path):
     assert {r.record_id: (r.attempts, r.reason) for r in jd.settled(spark, root).collect()} == {"ok": (1, None), "null": (1, None), "over": (1, "token_budget_exceeded"), "bad": (3, "malformed_judge_response"), "silent": (3, "no_judge_response")}
     jd.judge_batch(batch.limit(0), judge, root, "q", 1, "run", 2)
     assert jd.requests(spark, root).where("batch = 1").count() == 0
+
+
+def test_attempts_that_differ(spark, tmp_path):
+    rows = [("r2", "c", "b"), ("r1", "c", "z"), ("r1", "c", "a"), ("r1", "c", "a"), (None, "c", None), (None, "c", None)]
+    df = spark.createDataFrame(rows, "request_id string, candidate_id string, response string")
+    assert [tuple(r) for r in publication.attempt_rows(df).collect()] == [(None, "c", None), ("r1", "c", "a"), ("r2", "c", "b")]
+    assert [tuple(r) for r in publication.conflicting_attempts(df).collect()] == [("r1", 2, 3)]
+    where = str(tmp_path / "attempts")
+    for part in (df.where("request_id = 'r1'"), df.where("request_id is not null")):
+        sinks.append_attempts(part, where)
+    assert sorted((r.request_id, r.response) for r in spark.read.parquet(where).collect()) == [("r1", "a"), ("r2", "b")]
