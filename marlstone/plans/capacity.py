@@ -278,13 +278,14 @@ def display_text(spark, sf_dir):
     return d.select("doc_id", text.label(F.concat(F.lit("doc_id_"), F.col("doc_id").cast("string"))).alias("label"), text.format_metric(F.col("n_chars"), 0).cast("long").alias("metric"))
 
 
-@query("""SELECT 'capacity-' || i AS record_id, CAST(40 AS BIGINT) AS words, 'capacity_' || i || '_0' AS first_word FROM range(0, 20) t(i)""")
+@query("""SELECT 'capacity-' || p_partkey AS record_id, CAST(greatest(2 * p_size, 1) AS BIGINT) AS words, 'capacity_' || p_partkey || '_0' AS first_word, 'capacity_' || p_partkey || '_' || ((greatest(2 * p_size, 1) - 1) % 997) AS last_word FROM part""")
 def capacity_dataset(spark, sf_dir):
+    """A synthetic record for each part, of a length that its size sets."""
     from marlstone.sources import jsonl
 
-    c = jsonl.capacity_records(spark, 20, 20)
+    c = jsonl.capacity_records_of(V.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("token_target")))
     words = F.split(F.element_at("messages", 1)["content"], " ")
-    return c.select("record_id", F.size(words).cast("long").alias("words"), words[0].alias("first_word"))
+    return c.select("record_id", F.size(words).cast("long").alias("words"), words[0].alias("first_word"), F.element_at(words, -1).alias("last_word"))
 
 
 # --- streams -----------------------------------------------------------------------------------

@@ -81,7 +81,13 @@ def records(spark: SparkSession, *sources: str) -> DataFrame:
 
 def capacity_records(spark: SparkSession, count: int, token_target: int) -> DataFrame:
     """Synthetic records with twice ``token_target`` words each."""
+    return capacity_records_of(spark.range(count).withColumn("token_target", F.lit(token_target)))
+
+
+def capacity_records_of(targets: DataFrame) -> DataFrame:
+    """A synthetic record for each row (id, token_target), with twice as many words as its target, at least one."""
     word = lambda w: F.concat(F.lit("capacity_"), F.col("id").cast("string"), F.lit("_"), (w % 997).cast("string"))
-    text = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(2 * token_target - 1)), word), " ")
+    last = F.greatest(2 * F.col("token_target") - 1, F.lit(0))
+    text = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), last.cast("long")), word), " ")
     pair = F.array(F.struct(F.lit("user").alias("role"), text.alias("content")), F.struct(F.lit("assistant").alias("role"), F.lit("ok").alias("content")))
-    return spark.range(count).select(F.concat(F.lit("capacity-"), F.col("id").cast("string")).alias("record_id"), F.lit("train").alias("split"), pair.alias("messages"))
+    return targets.select(F.concat(F.lit("capacity-"), F.col("id").cast("string")).alias("record_id"), F.lit("train").alias("split"), pair.alias("messages"))
