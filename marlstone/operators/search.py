@@ -75,7 +75,9 @@ def staged_search(outcomes: DataFrame, axes: Mapping[str, Sequence[Any]], max_tr
     the search ends there. Only the first ``max_trials`` models can then have a trial, so only they are read.
 
     One join and one grouping by model an axis, all models side by side; a model's row holds its candidates'
-    statuses, of which there are as many as the declared lists are long.
+    statuses, of which there are as many as the declared lists are long. The joins are merge joins by hint:
+    outcomes that come from an explode have many times the rows that Spark's estimate of their size supposes,
+    and would be sent to the driver as a broadcast.
 
     Defined cases: a configuration without an outcome has the status ``no_outcome`` and ends its axis; of
     several outcomes the least status counts; repeated candidates count once; rows without a model are
@@ -87,7 +89,7 @@ def staged_search(outcomes: DataFrame, axes: Mapping[str, Sequence[Any]], max_tr
     value = lambda a, v: F.lit(v).cast(kind[a])
     values = lambda a: F.array(*[value(a, v) for v in lists[a]])
     known = outcomes.where("model is not null")
-    by_configuration = known.groupBy("model", *names).agg(F.min("status").alias("status"))
+    by_configuration = known.groupBy("model", *names).agg(F.min("status").alias("status")).hint("merge")
     models = known.select("model").distinct()
     if max_trials is not None:
         models = models.orderBy("model").limit(max_trials)

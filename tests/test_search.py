@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from marlstone.operators import search
 
@@ -89,3 +90,12 @@ def test_staged(spark, cap):
     models = sorted({r[0] for r in rows})
     assert sorted(map(tuple, got), key=str) == sorted(staged(models, axes, run, cap), key=str)
     assert search.staged_search(df.limit(0), axes, cap).count() == 0
+
+
+def test_staged_outcomes_are_never_broadcast(spark):
+    """Exploded outcomes look as small as the table they come from."""
+    axes = {"length": [1, 2, 4], "batch": [1, 2]}
+    made = spark.range(100).select(F.col("id").cast("string").alias("model"), F.explode(F.array(F.lit(1), F.lit(2), F.lit(4))).alias("length"), F.lit("completed").alias("status"))
+    out = search.staged_search(made.withColumn("batch", F.explode(F.array(F.lit(1), F.lit(2)))), axes)
+    assert out.count() == 100 * 4
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
