@@ -1,6 +1,7 @@
 """Small operators and functions, each over a few rows with its awkward cases."""
 
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -77,3 +78,19 @@ def test_breaches_go_on_over_batches(spark, tmp_path):
     got = live.run_to_end(live.sustained_breaches(stream, 5.0, 3.0), "append", "breach").collect()
     base = 1704067200.0
     assert [(r.device, r.fired_at - base, r.since - base) for r in got] == [(1, 8.0, 5.0)]
+
+
+def test_folding_one_letter_of_a_long_text(spark):
+    """One sharp s doesn't make every other character of its text a look-up."""
+    def seconds(letter):
+        d = spark.range(0, 8, 1, 1).select(F.concat(F.repeat(F.lit("word \t "), 150_000), F.lit(letter), F.col("id").cast("string")).alias("t"))
+        best = 1e9
+        for _ in range(2):
+            at = time.perf_counter()
+            found = d.select(F.max(F.right(text.normalize_answer(F.col("t")), F.lit(3)))).first()[0]
+            best = min(best, time.perf_counter() - at)
+        return found, best
+
+    (plain, a), (folded, b) = seconds("x"), seconds("ß")
+    assert (plain, folded) == (" x7", "ss7")
+    assert b < 2 * a + 1, (a, b)
