@@ -83,13 +83,11 @@ def normalize_training_answer(text: Column) -> Column:
 
 def exact_match(answer: Column, expected: Column) -> Column:
     """Normalised equality with an expected answer that isn't empty."""
-    want = normalize_answer(expected)
-    return (want != "") & (normalize_answer(answer) == want)
+    return _once(normalize_answer(expected), lambda want: (want != "") & (normalize_answer(answer) == want))
 
 
 def contains_expected(answer: Column, expected: Column) -> Column:
-    want = normalize_answer(expected)
-    return (want != "") & F.contains(normalize_answer(answer), want)
+    return _once(normalize_answer(expected), lambda want: (want != "") & F.contains(normalize_answer(answer), want))
 
 
 def token_estimate(text: Column) -> Column:

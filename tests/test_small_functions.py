@@ -94,3 +94,12 @@ def test_folding_one_letter_of_a_long_text(spark):
     (plain, a), (folded, b) = seconds("x"), seconds("ß")
     assert (plain, folded) == (" x7", "ss7")
     assert b < 2 * a + 1, (a, b)
+
+
+def test_expected_answer_is_normalised_once(spark):
+    """The plan of a match has two normalisations, one a side, not one for each use."""
+    d = spark.createDataFrame([("a", " A"), ("", ""), (None, None), ("xab", "AB")], "a string, e string")
+    for f, want in ((text.exact_match, [True, False, False, False]), (text.contains_expected, [True, False, False, True])):
+        out = d.select(f(F.col("a"), F.col("e")).alias("x"))
+        assert [r.x for r in out.collect()] == want
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 2
