@@ -25,6 +25,7 @@ not read, so names can't clash; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -117,12 +118,16 @@ def encoder(model: str) -> Callable[[str], bytes]:
 
     merged = tokenizer.model.tokenize
 
+    space = _BYTE_LETTERS[0x20]
+
     def encode_word(word: str) -> bytes:
-        return np.array([t.id for t in merged(word.encode().decode("latin-1").translate(_BYTE_LETTERS))], "<u4").tobytes()
+        plain = word.isascii() and word.isprintable()  # of its bytes only the space is hidden
+        ids = [t.id for t in merged(word.replace(" ", space) if plain else word.encode().decode("latin-1").translate(_BYTE_LETTERS))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     words, unsure = _patterns()
     known = _Words(encode_word)
-    return lambda text: encode(text) if unsure.search(text) else b"".join(map(known.__getitem__, words.findall(text)))
+    return lambda text: encode(text) if not text.isascii() and unsure.search(text) else b"".join(map(known.__getitem__, words.findall(text)))
 
 
 def cut_lengths(tokens: int, length: int) -> list[int]:

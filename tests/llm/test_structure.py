@@ -288,3 +288,21 @@ def test_outputs_equal_the_definition_and_restore(spark):
     assert sorted(((r.doc_id, r.n, r.form, r.prefix_chars, r.middle_chars, r.output, r.restored) for r in got), key=str) == want
     assert {w[2] for w in want} == {"plain", "psm", "spm"}
     assert fill_in_middle.transformed(df.limit(0)).count() == 0
+
+
+def test_plain_words_are_not_translated_letter_by_letter(monkeypatch):
+    """Words of visible ASCII skip the table of byte letters, which took a third of a new word's time."""
+
+    class Counting(dict):
+        asked = 0
+
+        def __getitem__(self, key):
+            Counting.asked += 1
+            return super().__getitem__(key)
+
+    texts = ["Plain words, of 7 bits!", " a\tb\n c\x7f\x00", "Äß x"]
+    want = list(map(packing.encoder(packing.MODEL), texts))
+    monkeypatch.setattr(packing, "_BYTE_LETTERS", Counting(packing._BYTE_LETTERS))
+    encode = packing.encoder(packing.MODEL)
+    assert encode(texts[0]) == want[0] and Counting.asked <= 1
+    assert [encode(t) for t in texts] == want
