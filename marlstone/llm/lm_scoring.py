@@ -12,11 +12,11 @@ Base score: each token's add-one unigram probability from the training tokens.
 
 Learning covers every training text, whatever its length, in four steps:
 
-1. Every text gives windows, one each ``SPACING`` bytes and one at its beginning, so what the
-   gradient learns from grows with the corpus. They are stored.
+1. Every text gives windows to start from, one each ``SPACING`` bytes and one at its beginning. They are stored.
 2. A model is started on about ``STARTERS`` of these windows, chosen by hash.
-3. ``ROUNDS`` times, each task trains the model on its share of all the stored windows, and
-   the copies are averaged row by row, weighted by how often a task used the row.
+3. ``ROUNDS`` times, each task trains the model on all windows of its training texts, so that every
+   piece is a target of the gradient once, and the copies are averaged row by row, weighted by how
+   often a task used the row.
 4. The output distributions, given the learned weights, and the word counts are gathered from
    all words of all training texts.
 
@@ -195,30 +195,39 @@ def _arrays(inputs: list[bytes], targets: list[bytes]) -> tuple[np.ndarray, np.n
     return np.frombuffer(b"".join(inputs), np.int32).reshape(-1, LENGTH), np.frombuffer(b"".join(targets), np.int32).reshape(-1, STRIDE)
 
 
-def averaged(given: DataFrame, model: AttentionModel, counts: np.ndarray, rate: float) -> tuple[AttentionModel, np.ndarray]:
-    """The model and its expected counts after each task has trained a copy on its windows."""
-    payload = given.sparkSession.sparkContext.broadcast((model, counts))
+def averaged(docs: DataFrame, proto, end: int, model: AttentionModel, counts: np.ndarray, rate: float) -> tuple[AttentionModel, np.ndarray]:
+    """The model and its expected counts after each task has trained a copy on every window of its training texts."""
+    payload = docs.sparkSession.sparkContext.broadcast((model, counts))
     names = [f"p{k}" for k in range(model.row_width)]
     mixes = [f"m{k}" for k in range(model.mixes)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, counts = payload.value
-        held = [_arrays(b.column("inputs").to_pylist(), b.column("targets").to_pylist()) for b in batches if b.num_rows]
-        if not held:
+        counts, known, steps = counts.copy(), Pieces(proto.value), 0
+        uses, seen = np.zeros(len(model.rows()), np.int64), np.zeros(model.vocabulary, np.int64)
+        for batch in batches:
+            for part in pieces(batch, "text", _PIECE_BYTES):
+                inputs, targets, _ = windows(*known.ids(*known.numbers(part.column("text"))), end)
+                n = -(-len(inputs) // 512)
+                model.learn(inputs, targets, counts, n, rate=rate, last_rate=0.5 * rate, memory=64.0 + 0.25 * steps)
+                steps += n
+                uses += model.row_uses(inputs)
+                seen += np.bincount(targets[targets >= 0], minlength=model.vocabulary)
+                if len(known.index) > _MOST_WORDS:
+                    known.forget()
+        if not steps:
             return
-        inputs, targets = np.concatenate([i for i, _ in held]), np.concatenate([t for _, t in held])
-        counts = counts.copy()
-        model.learn(inputs, targets, counts, -(-len(inputs) // 512), rate=rate, last_rate=0.5 * rate, memory=64.0)
-        total = np.zeros((model.vocabulary, model.mixes), np.float32)
-        model.gather(inputs, targets, total)
-        uses, rows = model.row_uses(inputs), model.rows()
+        # The running responsibilities of the tokens met, in proportion to how many they were.
+        total = np.where(seen[:, None] > 0, counts, np.float32(0))
+        total *= np.float32(seen.sum() / total.sum())
+        rows = model.rows()
         total = np.concatenate([total, np.zeros((len(rows) - len(total), model.mixes), np.float32)])
         some = np.flatnonzero((uses > 0) | total.any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(some), pa.array(uses[some]), *(pa.array(rows[some, k]) for k in range(model.row_width)), *(pa.array(total[some, k]) for k in range(model.mixes))], names=["row", "uses", *names, *mixes]
         )
 
-    made = given.mapInArrow(run, "row long, uses long, " + ", ".join(f"{n} float" for n in (*names, *mixes)))
+    made = docs.where(fold(FOLDS) != HELD_OUT).select("text").mapInArrow(run, "row long, uses long, " + ", ".join(f"{n} float" for n in (*names, *mixes)))
     sums = made.groupBy("row").agg(F.sum("uses").alias("uses"), *(F.sum(F.col(n).cast("double") * F.col("uses")).alias(n) for n in names), *(F.sum(F.col(n).cast("double")).alias(n) for n in mixes))
     table = sums.toArrow()
     payload.unpersist()
@@ -236,7 +245,7 @@ def averaged(given: DataFrame, model: AttentionModel, counts: np.ndarray, rate:
 
 
 def trained(docs: DataFrame, proto, end: int, starters: int = STARTERS, rounds: int = ROUNDS) -> AttentionModel:
-    """The attention weights, learnt from windows of every training text."""
+    """The attention weights: started on some windows, then learnt from every window of every training text."""
     model = AttentionModel(end + 1)
     given = stored(training_windows(docs, proto, end), "training-windows")
     n = given.count()
@@ -247,7 +256,7 @@ def trained(docs: DataFrame, proto, end: int, starters: int = STARTERS, rounds:
         counts = model.begin(targets)
         model.learn(inputs, targets, counts, min(STEPS, len(inputs) // 16 + 160), rate=0.3, last_rate=0.05)
         for k in range(rounds):
-            model, counts = averaged(given, model, counts, 0.1 / (k + 1))
+            model, counts = averaged(docs, proto, end, model, counts, 0.1 / (k + 1))
     discard(given)
     return model
 

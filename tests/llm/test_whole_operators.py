@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from fixtures import prose
 from marlstone.llm import decontaminate, lm_scoring
-from marlstone.llm.attention import LENGTH, STRIDE, Reader, windows
+from marlstone.llm.attention import LENGTH, STRIDE, AttentionModel, Reader, windows
 from marlstone.llm.labelled import fold
 from pyspark.sql import functions as F
 from test_exact import contamination
@@ -109,3 +109,14 @@ def test_long_texts_and_words(spark, tmp_path):
     assert made[2].startswith("x u") and made[2].endswith("@pseudonym.invalid end") and len(made[1]) == len(blob)
     assert sum(r["size"] for r in sharding.kd_shards(docs).collect()) == sum(len(t) + 16 for _, t in rows)
     assert time.monotonic() - began < 240
+
+
+def test_gradient_learns_from_every_position(spark):
+    """A word that stands in the middle of its text, where no starting window is, moves its rows of the model."""
+    middle = " ".join(["the cat sat"] * 60) + " zebra " + " ".join(["on the mat"] * 60)
+    docs = spark.createDataFrame([(k, middle) for k in range(12)], "doc_id long, text string").repartition(2)
+    proto, end, _ = _learner(spark)
+    ids = lm_scoring.Pieces(proto.value).cut([b"zebra"])[0]
+    new = AttentionModel(end + 1).tables["past"][ids]
+    learnt = lm_scoring.trained(docs, proto, end, starters=100).tables["past"][ids]
+    assert (np.abs(learnt - new).max(axis=1) > 1e-4).all()
