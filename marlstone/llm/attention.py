@@ -31,17 +31,22 @@ _CONTEXT = LENGTH - STRIDE
 #: The distance of context token j from scored token i of a window, and what is causal.
 _BACK = np.arange(STRIDE)[:, None] + _CONTEXT - np.arange(LENGTH)[None, :]
 _CAUSAL = _BACK >= 0
+_BACK_AT = np.abs(_BACK).ravel()
 _LENGTH_ONES = np.ones(LENGTH, np.float32)
 
 
 def _rows(values: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct ids and the sums of their rows of ``values``."""
-    if not len(ids):
-        return ids, values
-    order = np.argsort(ids)
-    ids = ids[order]
+    """Distinct ids and the sums of their rows of ``values``; ids below 0 are left out."""
+    # As unsigned numbers -1 comes last, and 16 bits are sorted by radix.
+    order = np.argsort(ids.astype(np.uint16 if ids.max(initial=0) < 0xFFFF else np.uint32), kind="stable")
+    order = order[: np.count_nonzero(ids >= 0)]
+    if not len(order):
+        return ids[:0], values[:0]
+    ids, rows = ids.take(order), values.take(order, axis=0)
     first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-    return ids[first], np.add.reduceat(values[order], first, axis=0)
+    # Two numbers are added at once, as a complex one.
+    pairs = rows.view(np.complex64) if rows.dtype == np.float32 and rows.shape[1] % 2 == 0 else rows
+    return ids.take(first), np.add.reduceat(pairs, first, axis=0).view(rows.dtype)
 
 
 def windows(flat: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,6 +77,20 @@ def windows(flat: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray,
     return inputs, targets.reshape(total, STRIDE), np.repeat(np.arange(len(n)), count)
 
 
+def _hide(a: np.ndarray, inputs: np.ndarray) -> None:
+    """No attention to what stands before a text or after it."""
+    ragged = np.flatnonzero((inputs[:, 0] < 0) | (inputs[:, -1] < 0))
+    if len(ragged):
+        a[ragged] += np.where(inputs[ragged] >= 0, np.float32(0), np.float32(-1e9))[:, None, :]
+
+
+def _exp(x: np.ndarray) -> None:
+    """In place, of at most 60."""
+    if x.max(initial=0) > 60:
+        np.minimum(x, 60, out=x)
+    np.exp(x, out=x)
+
+
 @dataclass
 class AttentionModel:
     """``now`` has the query, the state and the mixture logits of a token, ``past`` its key and value."""
@@ -97,23 +116,18 @@ class AttentionModel:
         past = t["past"].take(inputs, axis=0, mode="clip")
         q, k, v = (own[:, :d] * np.float32(1 / np.sqrt(d))).reshape(n, STRIDE, d), past[..., :d], past[..., d:]
         a = np.matmul(q, k.transpose(0, 2, 1))
-        a += np.where(_CAUSAL, t["distance"][np.abs(_BACK)], -1e9).astype(np.float32)
-        ragged = np.flatnonzero((inputs[:, 0] < 0) | (inputs[:, -1] < 0))
-        if len(ragged):
-            a[ragged] += np.where(inputs[ragged] >= 0, np.float32(0), np.float32(-1e9))[:, None, :]
-        np.minimum(a, 60, out=a)
-        np.exp(a, out=a)
+        a += np.where(_CAUSAL, t["distance"][np.abs(_BACK)], np.float32(-1e9))
+        _hide(a, inputs)
+        _exp(a)
         total = np.maximum(a @ _LENGTH_ONES, np.float32(1e-30))
         o = np.matmul(a, v)
-        o /= total[..., None]
-        h = o.reshape(-1, d)
-        h += own[:, d : 2 * d]
+        o *= (1 / total)[..., None]
+        h = o.reshape(-1, d) + own[:, d : 2 * d]
         np.tanh(h, out=h)
         e = h @ t["top"]
         e += own[:, 2 * d :]
-        np.minimum(e, 60, out=e)
-        np.exp(e, out=e)
-        return {"q": q, "k": k, "v": v, "a": a, "total": total, "h": h, "e": e}
+        _exp(e)
+        return {"q": q, "k": k, "v": v, "a": a, "total": total, "o": o, "h": h, "e": e}
 
     def probabilities(self, inputs: np.ndarray) -> np.ndarray:
         """The weights of the output distributions at every position."""
@@ -131,9 +145,19 @@ class AttentionModel:
         return out
 
     def _adagrad(self, name: str, grad: np.ndarray, rate: float, rows: np.ndarray | None = None) -> None:
-        where = slice(None) if rows is None else rows
-        self.squares[name][where] += grad * grad
-        self.tables[name][where] -= np.float32(rate) * grad / np.sqrt(self.squares[name][where])
+        table, squares = self.tables[name], self.squares[name]
+        if rows is None:
+            squares += grad * grad
+            table -= np.float32(rate) * grad / np.sqrt(squares)
+            return
+        sums = squares.take(rows, axis=0)
+        sums += grad * grad
+        squares[rows] = sums
+        np.sqrt(sums, out=sums)
+        np.divide(grad, sums, out=sums)
+        sums *= np.float32(-rate)
+        sums += table.take(rows, axis=0)
+        table[rows] = sums
 
     def begin(self, targets: np.ndarray) -> np.ndarray:
         """Random expected counts near the tokens' frequencies; the output distributions follow them."""
@@ -150,13 +174,20 @@ class AttentionModel:
             return
         rng = np.random.default_rng(self.seed)
         order = np.concatenate([rng.permutation(len(inputs)) for _ in range(-(-steps * batch // len(inputs)))])
+        scale = 1.0  # what is remembered of the counts at all; they are multiplied by it at the end
         for step in range(steps):
             pick = order[step * batch : (step + 1) * batch]
             ids, resp = self._step(inputs[pick], targets[pick], rate + (last_rate - rate) * step / steps)
-            counts *= np.float32(1 - 1 / (memory + 0.25 * step))
-            counts[ids] += resp
+            scale *= 1 - 1 / (memory + 0.25 * step)
+            resp *= np.float32(1 / scale)
+            resp += counts.take(ids, axis=0)
+            counts[ids] = resp
             if step % 4 == 3 or step == steps - 1:
-                self._emit(counts)
+                self._emit(counts, scale)
+            if scale < 1e-6:
+                counts *= np.float32(scale)
+                scale = 1.0
+        counts *= np.float32(scale)
 
     def gather(self, inputs: np.ndarray, targets: np.ndarray, total: np.ndarray) -> None:
         """Add the responsibilities of the output distributions for every target to ``total``."""
@@ -165,45 +196,69 @@ class AttentionModel:
             joint = self._forward(inputs[at : at + 2 * _BATCH])["e"]
             joint *= self.emitted.take(flat, axis=0, mode="clip")
             joint /= np.maximum(joint.sum(axis=1, keepdims=True), np.float32(1e-30))
-            keep = np.flatnonzero(flat >= 0)
-            ids, resp = _rows(joint[keep], flat[keep])
+            ids, resp = _rows(joint, flat)
             total[ids] += resp
 
     def settle(self, total: np.ndarray) -> None:
         """Output distributions from the counts of all training tokens."""
         self._emit(total)
 
-    def _emit(self, counts: np.ndarray, prior: float = 200.0) -> None:
-        seen = counts.sum(axis=1, dtype=float, keepdims=True) + 0.5
-        base = seen / seen.sum()
-        self.emitted = ((counts + prior * base) / (counts.sum(axis=0, dtype=float, keepdims=True) + prior)).astype(np.float32)
+    def _emit(self, counts: np.ndarray, scale: float = 1.0, prior: float = 200.0) -> None:
+        seen = (counts @ np.ones(self.mixes, counts.dtype)).astype(float) * scale + 0.5
+        base = (prior / seen.sum() * seen).astype(np.float32)
+        share = 1 / ((np.ones(len(counts), counts.dtype) @ counts).astype(float) * scale + prior)
+        self.emitted = np.multiply.outer(base, share.astype(np.float32))
+        self.emitted += counts * (share * scale).astype(counts.dtype)
 
     def _step(self, inputs: np.ndarray, targets: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
-        t, d, n = self.tables, self.width, len(inputs)
-        f = self._forward(inputs)
-        flat = targets.reshape(-1)
-        scored = flat >= 0
-        pi = f["e"] / f["e"].sum(axis=1, keepdims=True)
-        joint = pi * self.emitted.take(flat, axis=0, mode="clip")
-        gamma = joint / np.maximum(joint.sum(axis=1, keepdims=True), np.float32(1e-30))
-        dz = np.where(scored[:, None], pi - gamma, np.float32(0)) / np.float32(np.sqrt(max(1, scored.sum())))
-        a = f["a"] / f["total"][..., None]
-        dh = (dz @ t["top"].T) * (1 - f["h"] ** 2)
-        do = dh.reshape(n, STRIDE, d)
-        da = np.matmul(do, f["v"].transpose(0, 2, 1))
-        dv = np.matmul(a.transpose(0, 2, 1), do)
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-        dq = np.matmul(ds, f["k"]).reshape(-1, d) * np.float32(1 / np.sqrt(d))
-        dk = np.matmul(ds.transpose(0, 2, 1), f["q"])
-        distance = np.bincount(np.abs(_BACK).ravel(), (ds.sum(axis=0) * _CAUSAL).ravel(), LENGTH).astype(np.float32)
-        dense = {"top": f["h"].T @ dz, "distance": distance}
-        for name, grad, ids in (("now", np.concatenate([dq, dh, dz], axis=1), inputs[:, _CONTEXT:].reshape(-1)), ("past", np.concatenate([dk, dv], axis=2).reshape(-1, 2 * d), inputs.reshape(-1))):
-            real = np.flatnonzero(ids >= 0)
-            rows, sums = _rows(grad[real], ids[real])
+        d, n, flat = self.width, len(inputs), targets.reshape(-1)
+        norm = np.float32(1 / np.sqrt(max(1, np.count_nonzero(flat >= 0))))
+        now = np.empty((n * STRIDE, 2 * d + self.mixes), np.float32)
+        past, gamma = np.empty((n, LENGTH, 2 * d), np.float32), np.empty((n * STRIDE, self.mixes), np.float32)
+        dense = {name: np.zeros_like(self.tables[name]) for name in ("top", "distance")}
+        for at in range(0, n, _BATCH):  # what a block computes stays in the processor's cache
+            some, own = slice(at, at + _BATCH), slice(at * STRIDE, (at + _BATCH) * STRIDE)
+            top, distance = self._gradient(inputs[some], flat[own], norm, now[own], past[some], gamma[own])
+            dense["top"] += top
+            dense["distance"] += distance
+        for name, grad, ids in (("now", now, inputs[:, _CONTEXT:]), ("past", past.reshape(-1, 2 * d), inputs)):
+            rows, sums = _rows(grad, ids.reshape(-1))
             self._adagrad(name, sums, rate, rows)
         for name, grad in dense.items():
             self._adagrad(name, grad, rate)
-        return _rows(gamma[scored], flat[scored])
+        return _rows(gamma, flat)
+
+    def _gradient(self, inputs: np.ndarray, flat: np.ndarray, norm: np.float32, now: np.ndarray, past: np.ndarray, gamma: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The gradients of "top" and "distance"; those of each position and the responsibilities go to the last three arguments."""
+        top, d, n = self.tables["top"], self.width, len(inputs)
+        f = self._forward(inputs)
+        a, e, h, ones = f["a"], f["e"], f["h"], np.ones(self.mixes, np.float32)
+        # The responsibilities, and by how much the weights exceed them.
+        np.multiply(e, self.emitted.take(flat, axis=0, mode="clip"), out=gamma)
+        sums = e @ ones
+        gamma *= (1 / np.maximum(gamma @ ones, np.float32(1e-30) * sums))[:, None]
+        e *= (1 / sums)[:, None]
+        e -= gamma
+        e *= np.where(flat >= 0, norm, np.float32(0))[:, None]
+        now[:, 2 * d :] = e
+        dtop = h.T @ e
+        dh = e @ top.T
+        h *= h
+        np.subtract(np.float32(1), h, out=h)
+        dh *= h
+        now[:, d : 2 * d] = dh
+        # Attention is a / total: the division is made once on what it is multiplied by.
+        dh *= np.repeat(1 / f["total"].reshape(-1), d).reshape(-1, d)
+        do = dh.reshape(n, STRIDE, d)
+        past[..., d:] = np.matmul(a.transpose(0, 2, 1), do)
+        ds = np.matmul(do, f["v"].transpose(0, 2, 1))
+        dh *= f["o"].reshape(-1, d)
+        ds -= (dh @ np.ones(d, np.float32)).reshape(n, STRIDE, 1)
+        ds *= a
+        np.multiply(np.matmul(ds, f["k"]).reshape(-1, d), np.float32(1 / np.sqrt(d)), out=now[:, :d])
+        past[..., :d] = np.matmul(ds.transpose(0, 2, 1), f["q"])
+        by_place = np.ones(n, np.float32) @ ds.reshape(n, -1)
+        return dtop, np.bincount(_BACK_AT, by_place * _CAUSAL.ravel(), LENGTH).astype(np.float32)
 
     # Rows of a model: one for each token, then the dense tables cut to the same width.
 
@@ -240,10 +295,12 @@ class Reader:
         now, past = model.tables["now"], model.tables["past"]
         self.mixes, self.width, self.emitted, self.top = k, d, model.emitted, model.tables["top"]
         self.query, self.state = np.ascontiguousarray(now[:, :d] * f(1 / np.sqrt(d))), np.ascontiguousarray(now[:, d:])
-        self.key, self.value = np.ascontiguousarray(past[:, :d]), np.ascontiguousarray(past[:, d:])
+        # The last row is of what stands before a text or after it: its value and its share of the sum (the last column) are nil.
+        self.key, self.value = np.zeros((len(past) + 1, d), f), np.zeros((len(past) + 1, d + 1), f)
+        self.key[:-1], self.value[:-1, :d], self.value[:-1, d] = past[:, :d], past[:, d:], 1
         self.bias = np.where(_CAUSAL, model.tables["distance"][np.abs(_BACK)], -1e9).astype(f)
         self.ones = np.ones(k, f)
-        sizes = {"q": (_BATCH * STRIDE, d), "s": (_BATCH * STRIDE, d + k), "k": (_BATCH, LENGTH, d), "v": (_BATCH, LENGTH, d), "a": (_BATCH, STRIDE, LENGTH), "o": (_BATCH, STRIDE, d), "e": (_BATCH * STRIDE, k), "t": (_BATCH * STRIDE, k)}
+        sizes = {"q": (_BATCH * STRIDE, d), "s": (_BATCH * STRIDE, d + k), "k": (_BATCH, LENGTH, d), "v": (_BATCH, LENGTH, d + 1), "a": (_BATCH, STRIDE, LENGTH), "o": (_BATCH, STRIDE, d + 1), "h": (_BATCH * STRIDE, d), "e": (_BATCH * STRIDE, k), "t": (_BATCH * STRIDE, k)}
         self.buffers = {name: np.empty(shape, f) for name, shape in sizes.items()}
 
     def weights(self, inputs: np.ndarray) -> np.ndarray:
@@ -252,25 +309,19 @@ class Reader:
         now = inputs[:, _CONTEXT:].reshape(-1)
         q = self.query.take(now, axis=0, mode="clip", out=b["q"][: n * STRIDE]).reshape(n, STRIDE, d)
         s = self.state.take(now, axis=0, mode="clip", out=b["s"][: n * STRIDE])
-        k = self.key.take(inputs, axis=0, mode="clip", out=b["k"][:n])
-        v = self.value.take(inputs, axis=0, mode="clip", out=b["v"][:n])
+        k = self.key.take(inputs, axis=0, mode="wrap", out=b["k"][:n])
+        v = self.value.take(inputs, axis=0, mode="wrap", out=b["v"][:n])
         a = np.matmul(q, k.transpose(0, 2, 1), out=b["a"][:n])
         a += self.bias
-        ragged = np.flatnonzero((inputs[:, 0] < 0) | (inputs[:, -1] < 0))
-        if len(ragged):
-            a[ragged] += np.where(inputs[ragged] >= 0, np.float32(0), np.float32(-1e9))[:, None, :]
-        np.minimum(a, 60, out=a)
-        np.exp(a, out=a)
-        total = np.maximum(a @ _LENGTH_ONES, np.float32(1e-30))
-        o = np.matmul(a, v, out=b["o"][:n])
-        o /= total[..., None]
-        h = o.reshape(-1, d)
+        _exp(a)
+        o = np.matmul(a, v, out=b["o"][:n]).reshape(-1, d + 1)
+        h = np.divide(o[:, :d], np.maximum(o[:, d:], np.float32(1e-30)), out=b["h"][: n * STRIDE])
         h += s[:, :d]
         np.tanh(h, out=h)
         e = np.matmul(h, self.top, out=b["e"][: n * STRIDE])
         e += s[:, d:]
-        np.minimum(e, 60, out=e)
-        return np.exp(e, out=e)
+        _exp(e)
+        return e
 
     def each_log10(self, inputs: np.ndarray, targets: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 of the probability of every target, in the texts' order, and of any of ``starts`` there.

@@ -12,16 +12,16 @@ Base score: each token's add-one unigram probability from the training tokens.
 
 Learning covers every training text, whatever its length, in four steps:
 
-1. Every text gives windows to start from, one each ``SPACING`` bytes and one at its beginning. They are stored.
+1. Every text is cut into subword ids once, and they are stored beside it (``encoded``). It gives windows to
+   start from, one each ``SPACING`` bytes and one at its beginning, and the counts of its words.
 2. A model is started on about ``STARTERS`` of these windows, chosen by hash.
 3. ``ROUNDS`` times, each task trains the model on all windows of its training texts, so that every
    piece is a target of the gradient once, and the copies are averaged row by row, weighted by how
    often a task used the row.
-4. The output distributions, given the learned weights, and the word counts are gathered from
-   all words of all training texts.
+4. The output distributions, given the learned weights, are gathered from all ids of all training texts.
 
 Scale: counts are summed by task and then by key. The ``frequent`` most frequent words (a
-fixed number) are known to every task with their counts and pieces; occurrences of rarer
+fixed number) are known to every task with their counts; occurrences of rarer
 words leave as rows and meet their counts in a join, so nothing that grows is broadcast. At
 most one row a piece of the vocabulary reaches the driver. Each text is scored where it lies.
 
@@ -33,6 +33,7 @@ text are not read, so their names can't clash.
 
 from __future__ import annotations
 
+import copy
 import math
 from collections.abc import Iterator
 from itertools import chain, islice, repeat
@@ -43,19 +44,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from marlstone.llm.attention import LENGTH, STRIDE, AttentionModel, Reader, windows
 from marlstone.llm.labelled import fold
 from marlstone.llm.sentencepieces import MODEL
 from marlstone.llm.store import discard, stored
-from marlstone.llm.textmap import append_columns, pieces
+from marlstone.llm.textmap import pieces, text_bytes
 
 FOLDS, HELD_OUT = 7, 2
 FREQUENT = 200_000
 SPACING, STARTERS, STEPS, ROUNDS = 2048, 40_000, 800, 1
-_EXCERPT, _MOST_WORDS = 192, 400_000
-_SEPARATORS = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
-_PIECE_BYTES = 3 << 20
+_MOST_WORDS = 400_000
+_PIECE_BYTES, _ID_BYTES = 3 << 20, 9 << 18
 
 
 def words_of(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -76,30 +77,21 @@ def words_of(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return words, at, np.bincount(owner, minlength=len(texts))
 
 
-class Pieces:
-    """Numbers of words and their subword ids; what is beyond ``fixed`` words may be forgotten."""
+class Words:
+    """Numbers of words; what is beyond the first, ``fixed`` words may be forgotten."""
 
-    def __init__(self, proto: bytes, fixed: tuple = ()) -> None:
-        import sentencepiece
-
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=proto)
+    def __init__(self, fixed: list[bytes] = ()) -> None:
         self.fixed = fixed
         self.forget()
 
     def forget(self) -> None:
-        words, flat, first, count = self.fixed or ([], np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
-        self.index = dict(zip(words, range(len(words))))
-        self.flat, self.first, self.count = flat, first, count
+        self.index = dict(zip(self.fixed, range(len(self.fixed))))
 
-    def cut(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids of all words, first index and count of each word's ids)."""
-        made = self.model.encode([w.decode() for w in words], num_threads=1) if words else []
-        count = np.fromiter(map(len, made), np.int64, len(made))
-        flat = np.fromiter(chain.from_iterable(made), np.int32, int(count.sum()))
-        return flat, np.cumsum(count) - count, count
+    def meet(self, words: list[bytes]) -> None:
+        """What is to be done with new words."""
 
     def numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers of the words of all texts, words of each text); new words get the next numbers and their ids."""
+        """(numbers of the words of all texts, words of each text); new words get the next numbers."""
         words, at, sizes = words_of(texts)
         index, known = self.index, len(self.index)
         own = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
@@ -110,10 +102,36 @@ class Pieces:
             fresh = [words[k] for k in new.tolist()]
             own[new] = np.arange(known, known + len(fresh))
             index.update(zip(fresh, range(known, known + len(fresh))))
-            flat, first, count = self.cut(fresh)
-            self.flat, self.first, self.count = np.concatenate([self.flat, flat]), np.concatenate([self.first, first + len(self.flat)]), np.concatenate([self.count, count])
+            self.meet(fresh)
         return own[at], sizes
 
+
+class Pieces(Words):
+    """Numbers of words, their lengths in bytes and their subword ids."""
+
+    def __init__(self, proto: bytes) -> None:
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=proto)
+        super().__init__()
+
+    def forget(self) -> None:
+        super().forget()
+        self.flat, self.first, self.count, self.length = np.zeros(0, np.int32), *np.zeros((3, 0), np.int64)
+
+    def cut(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all words, first index and count of each word's ids)."""
+        made = self.model.encode([w.decode() for w in words], num_threads=1) if words else []
+        count = np.fromiter(map(len, made), np.int64, len(made))
+        flat = np.fromiter(chain.from_iterable(made), np.int32, int(count.sum()))
+        return flat, np.cumsum(count) - count, count
+
+    def meet(self, words: list[bytes]) -> None:
+        flat, first, count = self.cut(words)
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        self.first, self.flat = np.concatenate([self.first, first + len(self.flat)]), np.concatenate([self.flat, flat])
+        self.count, self.length = np.concatenate([self.count, count]), np.concatenate([self.length, length])
+
     def ids(self, numbers: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(subword ids of all words, ids of each text)."""
         count = self.count[numbers]
@@ -136,35 +154,90 @@ def _vocabulary(path: str) -> tuple[bytes, int, np.ndarray]:
     return model.serialized_model_proto(), len(begins), np.array([*begins, True])
 
 
-def training_windows(docs: DataFrame, proto, end: int, spacing: int = SPACING) -> DataFrame:
-    """Windows (inputs, targets) of all training texts: at each beginning, and one every ``spacing`` bytes."""
+def _code(end: int) -> tuple[type, int]:
+    """(the type of stored ids, the bit that is set in a word's first id)."""
+    return (np.uint16, 1 << 15) if end < 1 << 15 else (np.uint32, 1 << 31)
+
+
+_ENCODED = [T.StructField(n, t) for n, t in (("ids", T.BinaryType()), ("inputs", T.BinaryType()), ("targets", T.BinaryType()), ("word", T.StringType()), ("n", T.LongType()), ("piece", T.IntegerType()))]
+
+
+def encoded(docs: DataFrame, proto, end: int, spacing: int = SPACING) -> DataFrame:
+    """Rows (doc_id, text, learns, ids) of all documents and, from those that are learnt from, rows (inputs, targets),
+    the windows at each beginning and one every ``spacing`` bytes of words, and rows (word, n, first piece), where the
+    null word without a piece is the end mark. What isn't named is null."""
+    code, begins_word = _code(end)
+    docs = docs.select("doc_id", "text", (fold(FOLDS) != HELD_OUT).alias("learns"))
+    schema = T.StructType([*docs.schema.fields, *_ENCODED])
+    arrow, kept = to_arrow_schema(schema), docs.columns
+
+    def rows(many: int, **columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(many, f.type) for f in arrow], names=arrow.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Pieces(proto.value)
+        known, counts, ends = Pieces(proto.value), np.zeros(0, np.int64), 0
+
+        def counted() -> pa.RecordBatch:
+            some = np.flatnonzero(counts)
+            words = pa.array(list(known.index), pa.binary()).cast(pa.string()).take(pa.array(some))
+            return rows(len(some), word=words, n=pa.array(counts[some]), piece=pa.array(known.flat[known.first[some]], pa.int32()))
+
         for batch in batches:
-            for part in pieces(batch, "text", 16 << 20):
-                openings, rest = [], []
-                for text in part.column("text").to_pylist():
-                    data = (text or "").encode()
-                    for at in range(0, max(1, len(data)), spacing):
-                        excerpt = data[at : at + _EXCERPT]
-                        whole = at + _EXCERPT >= len(data)
-                        words = excerpt.split()
-                        if not whole and excerpt[-1:] not in _SEPARATORS:
-                            words = words[:-1]
-                        if at == 0:
-                            openings.append((words, whole))
-                        elif len(words) > 1:
-                            rest.append((words[1:], whole))
-                excerpts = [*openings, *rest]
-                numbers, sizes = known.numbers(pa.array([b" ".join(words).decode() for words, _ in excerpts], pa.string()))
-                flat, sizes = known.ids(numbers, sizes)
-                inputs, targets = _first_windows(flat, sizes, np.arange(len(excerpts)) < len(openings), np.array([whole for _, whole in excerpts]), end)
-                yield pa.RecordBatch.from_arrays([_binary(inputs), _binary(targets)], names=["inputs", "targets"])
-                if len(known.index) > _MOST_WORDS:
+            for part in pieces(batch, "text", _PIECE_BYTES):
+                numbers, words = known.numbers(part.column("text"))
+                flat, sizes = known.ids(numbers, words)
+                many = known.count[numbers]
+                first = np.cumsum(many) - many
+                codes = flat.astype(code)
+                codes[first] |= code(begins_word)
+                yield rows(part.num_rows, **{n: part.column(n) for n in kept}, ids=_binary(codes, sizes))
+                learns = part.column("learns").to_numpy(zero_copy_only=False).astype(bool)
+                ends += int(learns.sum())
+                counts = np.concatenate([counts, np.zeros(len(known.index) - len(counts), np.int64)]) + np.bincount(numbers[np.repeat(learns, words)], minlength=len(known.index))
+                text, at, opening = _starts(known.length[numbers] + 1, words, first, sizes, spacing)
+                own = np.flatnonzero(learns[text])
+                text, at, opening = text[own], at[own], opening[own]
+                left = np.cumsum(sizes)[text] - at
+                taken = np.minimum(left, LENGTH + 1)
+                inputs, targets = _first_windows(gathered(flat, at, taken), taken, opening, taken == left, end)
+                yield rows(len(inputs), inputs=_binary(inputs), targets=_binary(targets))
+                if len(counts) > _MOST_WORDS:
+                    yield counted()
                     known.forget()
+                    counts = counts[:0]
+        yield counted()
+        if ends:
+            yield rows(1, n=pa.array([ends], pa.int64()))
+
+    return docs.mapInArrow(run, schema)
+
+
+def _starts(lengths: np.ndarray, words: np.ndarray, first: np.ndarray, sizes: np.ndarray, spacing: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, index of the first id, whether it begins the text) of the windows to start from.
+
+    ``lengths`` and ``first`` are of words, ``words`` and ``sizes`` the words and ids of each text.
+    """
+    done = np.cumsum(lengths) - lengths
+    text = np.repeat(np.arange(len(words)), words)
+    begin = np.cumsum(words) - words
+    place = (done - done[begin[text]]) // spacing
+    at = np.flatnonzero((place[1:] != place[:-1]) & (text[1:] == text[:-1])) + 1
+    opening = np.arange(len(words) + len(at)) < len(words)
+    return np.concatenate([np.arange(len(words)), text[at]]), np.concatenate([np.cumsum(sizes) - sizes, first[at]]), opening
 
-    return docs.where(fold(FOLDS) != HELD_OUT).select("text").mapInArrow(run, "inputs binary, targets binary")
+
+def _ids(column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, ids of each text, whether an id begins a word) of a column that ``encoded`` made."""
+    code, begins_word = _code(end)
+    data, off = text_bytes(column)
+    codes = data.view(code)
+    return (codes & code(begins_word - 1)).astype(np.int32), np.diff(off) // codes.itemsize, codes >= begins_word
+
+
+def training_windows(docs: DataFrame, proto, end: int, spacing: int = SPACING) -> DataFrame:
+    """Windows (inputs, targets) of all training texts: at each beginning, and one every ``spacing`` bytes."""
+    made = docs if "ids" in docs.columns else encoded(docs, proto, end, spacing)
+    return made.where("inputs is not null").select("inputs", "targets")
 
 
 def _first_windows(flat: np.ndarray, sizes: np.ndarray, opening: np.ndarray, whole: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -185,36 +258,37 @@ def _first_windows(flat: np.ndarray, sizes: np.ndarray, opening: np.ndarray, who
     return inputs[some], np.ascontiguousarray(targets[some])
 
 
-def _binary(rows: np.ndarray) -> pa.Array:
-    """Each row as bytes."""
-    offsets = np.arange(len(rows) + 1, dtype=np.int32) * (rows.shape[1] * rows.itemsize)
-    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
+def _binary(rows: np.ndarray, sizes: np.ndarray | None = None) -> pa.Array:
+    """Each row, or the next ``sizes`` values, as bytes."""
+    done = np.arange(len(rows) + 1) * rows.shape[1] if sizes is None else np.concatenate([[0], np.cumsum(sizes)])
+    return pa.Array.from_buffers(pa.binary(), len(done) - 1, [None, pa.py_buffer((done * rows.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
 def _arrays(inputs: list[bytes], targets: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(inputs), np.int32).reshape(-1, LENGTH), np.frombuffer(b"".join(targets), np.int32).reshape(-1, STRIDE)
 
 
-def averaged(docs: DataFrame, proto, end: int, model: AttentionModel, counts: np.ndarray, rate: float) -> tuple[AttentionModel, np.ndarray]:
-    """The model and its expected counts after each task has trained a copy on every window of its training texts."""
-    payload = docs.sparkSession.sparkContext.broadcast((model, counts))
+def averaged(made: DataFrame, end: int, model: AttentionModel, counts: np.ndarray, rate: float) -> tuple[AttentionModel, np.ndarray]:
+    """The model and its expected counts after each task has trained a copy on every window of its training texts.
+
+    ``made`` has the rows of ``encoded``."""
+    payload = made.sparkSession.sparkContext.broadcast((model, counts))
     names = [f"p{k}" for k in range(model.row_width)]
     mixes = [f"m{k}" for k in range(model.mixes)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, counts = payload.value
-        counts, known, steps = counts.copy(), Pieces(proto.value), 0
+        model, counts = copy.deepcopy(payload.value)  # the worker's next task gets the same value
+        steps = 0
         uses, seen = np.zeros(len(model.rows()), np.int64), np.zeros(model.vocabulary, np.int64)
         for batch in batches:
-            for part in pieces(batch, "text", _PIECE_BYTES):
-                inputs, targets, _ = windows(*known.ids(*known.numbers(part.column("text"))), end)
+            for part in pieces(batch, "ids", _ID_BYTES):
+                flat, sizes, _ = _ids(part.column("ids"), end)
+                inputs, targets, _ = windows(flat, sizes, end)
                 n = -(-len(inputs) // 512)
                 model.learn(inputs, targets, counts, n, rate=rate, last_rate=0.5 * rate, memory=64.0 + 0.25 * steps)
                 steps += n
                 uses += model.row_uses(inputs)
                 seen += np.bincount(targets[targets >= 0], minlength=model.vocabulary)
-                if len(known.index) > _MOST_WORDS:
-                    known.forget()
         if not steps:
             return
         # The running responsibilities of the tokens met, in proportion to how many they were.
@@ -227,8 +301,8 @@ def averaged(docs: DataFrame, proto, end: int, model: AttentionModel, counts: np
             [pa.array(some), pa.array(uses[some]), *(pa.array(rows[some, k]) for k in range(model.row_width)), *(pa.array(total[some, k]) for k in range(model.mixes))], names=["row", "uses", *names, *mixes]
         )
 
-    made = docs.where(fold(FOLDS) != HELD_OUT).select("text").mapInArrow(run, "row long, uses long, " + ", ".join(f"{n} float" for n in (*names, *mixes)))
-    sums = made.groupBy("row").agg(F.sum("uses").alias("uses"), *(F.sum(F.col(n).cast("double") * F.col("uses")).alias(n) for n in names), *(F.sum(F.col(n).cast("double")).alias(n) for n in mixes))
+    copies = made.where("learns").select("ids").mapInArrow(run, "row long, uses long, " + ", ".join(f"{n} float" for n in (*names, *mixes)))
+    sums = copies.groupBy("row").agg(F.sum("uses").alias("uses"), *(F.sum(F.col(n).cast("double") * F.col("uses")).alias(n) for n in names), *(F.sum(F.col(n).cast("double")).alias(n) for n in mixes))
     table = sums.toArrow()
     payload.unpersist()
     at, uses = table.column("row").to_numpy(), table.column("uses").to_numpy()
@@ -245,61 +319,53 @@ def averaged(docs: DataFrame, proto, end: int, model: AttentionModel, counts: np
 
 
 def trained(docs: DataFrame, proto, end: int, starters: int = STARTERS, rounds: int = ROUNDS) -> AttentionModel:
-    """The attention weights: started on some windows, then learnt from every window of every training text."""
+    """The attention weights: started on some windows, then learnt from every window of every training text.
+
+    ``docs`` are documents or the rows of ``encoded``, as for ``learnt``.
+    """
     model = AttentionModel(end + 1)
-    given = stored(training_windows(docs, proto, end), "training-windows")
+    made = _encoded(docs, proto, end)
+    given = training_windows(made, proto, end)
     n = given.count()
     some = F.pmod(F.xxhash64("inputs", "targets"), F.lit(max(1, n))) < starters
-    first = sorted(zip(*(given.where(some).select("inputs", "targets").toArrow().to_pydict().values())))
+    first = sorted(zip(*(given.where(some).toArrow().to_pydict().values())))
     if first:
         inputs, targets = _arrays([i for i, _ in first], [t for _, t in first])
         counts = model.begin(targets)
         model.learn(inputs, targets, counts, min(STEPS, len(inputs) // 16 + 160), rate=0.3, last_rate=0.05)
         for k in range(rounds):
-            model, counts = averaged(docs, proto, end, model, counts, 0.1 / (k + 1))
-    discard(given)
+            model, counts = averaged(made, end, model, counts, 0.1 / (k + 1))
     return model
 
 
+def _encoded(docs: DataFrame, proto, end: int) -> DataFrame:
+    return docs if "ids" in docs.columns else stored(encoded(docs, proto, end), "encoded")
+
+
 _LEARNT = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("shares", T.ArrayType(T.FloatType()))])
 
 
 def learnt(docs: DataFrame, model: AttentionModel, proto, end: int) -> DataFrame:
     """From all training texts: rows (word, n, first piece), the end mark as the null word without
     a piece, and rows (piece, shares): how often each output distribution emitted it."""
-    payload = docs.sparkSession.sparkContext.broadcast(model.scoring_only())
+    made = _encoded(docs, proto, end)
+    payload = made.sparkSession.sparkContext.broadcast(model.scoring_only())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known, ends = Reader(payload.value), Pieces(proto.value), 0
-        counts, total = np.zeros(0, np.int64), np.zeros(model.emitted.shape)
-
-        def rows(words, n, piece, shares) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(piece, pa.int32()), shares], names=_LEARNT.names)
-
-        def counted() -> pa.RecordBatch:
-            return rows(list(known.index), counts, known.flat[known.first], pa.nulls(len(counts), pa.list_(pa.float32())))
-
+        model = Reader(payload.value)
+        total = np.zeros(model.emitted.shape)
         for batch in batches:
-            for part in pieces(batch, "text", _PIECE_BYTES):
-                numbers, sizes = known.numbers(part.column("text"))
-                ends += len(sizes)
-                counts = np.concatenate([counts, np.zeros(len(known.index) - len(counts), np.int64)]) + np.bincount(numbers, minlength=len(known.index))
-                inputs, targets, _ = windows(*known.ids(numbers, sizes), end)
+            for part in pieces(batch, "ids", _ID_BYTES):
+                flat, sizes, _ = _ids(part.column("ids"), end)
+                inputs, targets, _ = windows(flat, sizes, end)
                 model.tally(inputs, targets, total)
-                if len(counts) > _MOST_WORDS:
-                    yield counted()
-                    known.forget()
-                    counts = counts[:0]
-        if len(counts):
-            yield counted()
-        if ends:
-            some = np.flatnonzero(total.any(axis=1))
-            flat = pa.array(total[some].astype(np.float32).ravel())
-            yield rows([None], [ends], [None], pa.nulls(1, pa.list_(pa.float32())))
-            offsets = pa.array((np.arange(len(some) + 1) * model.mixes).astype(np.int32))
-            yield rows([None] * len(some), [None] * len(some), some, pa.ListArray.from_arrays(offsets, flat))
+        some = np.flatnonzero(total.any(axis=1))
+        offsets = pa.array((np.arange(len(some) + 1) * model.mixes).astype(np.int32))
+        shares = pa.ListArray.from_arrays(offsets, pa.array(total[some].astype(np.float32).ravel()))
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(some), pa.string()), pa.nulls(len(some), pa.int64()), pa.array(some.astype(np.int32)), shares], names=_LEARNT.names)
 
-    return docs.where(fold(FOLDS) != HELD_OUT).select("text").mapInArrow(run, _LEARNT)
+    counts = made.where("n is not null").select("word", "n", "piece", F.lit(None).cast(_LEARNT["shares"].dataType).alias("shares"))
+    return counts.union(made.where("learns").select("ids").mapInArrow(run, _LEARNT))
 
 
 def settled(rows: DataFrame, model: AttentionModel) -> AttentionModel:
@@ -313,7 +379,7 @@ def settled(rows: DataFrame, model: AttentionModel) -> AttentionModel:
 
 
 def most_frequent(counts: DataFrame, most: int) -> pa.Table:
-    """(word, n) of at most ``most`` words: all that are as frequent as some power of 2 ** (1 / 16).
+    """(word, n and what else ``counts`` has) of at most ``most`` words: all that are as frequent as some power of 2 ** (1 / 16).
 
     A histogram of some hundred rows finds the power, so no task meets more than its own words.
     """
@@ -337,81 +403,84 @@ class Scorer:
     occurrences adds to that.
     """
 
-    def __init__(self, proto: bytes, begins: np.ndarray, model: AttentionModel, own: tuple, counts: np.ndarray, ends: int, total: int, distinct: int, lexicon: np.ndarray) -> None:
-        self.model, self.counts, self.ends = Reader(model), counts, ends
-        self.end, self.frequent = len(begins) - 1, len(own[0])
-        self.known = Pieces(proto, own)
-        self.low = math.log10(total + distinct + 1)
+    def __init__(self, end: int, begins: np.ndarray, model: AttentionModel, words: list[bytes], seen: np.ndarray, piece: np.ndarray, ends: int, total: int, distinct: int, lexicon: np.ndarray) -> None:
+        self.model, self.end, self.words = Reader(model), end, Words(words)
+        self.frequent = len(words)
         n, d = lexicon
         # A first piece without words: all of the mass is spelled.
         self.spelled_share = np.log10(np.where(d > 0, d / np.maximum(1, n + d), 1.0))
         self.one = -np.log10(np.maximum(1, n + d))
         self.starts = model.mass(begins)
-
-    def __call__(self, texts: pa.Array) -> list:
-        frequent, known = self.frequent, self.known
-        if len(known.index) > frequent + _MOST_WORDS // 2:
-            known.forget()
-        numbers, of_text = known.numbers(texts)
-        inputs, targets, _ = windows(*known.ids(numbers, of_text), self.end)
+        # Of each frequent word, then of the end mark and of any other word, which counts later.
+        self.listed = seen / np.maximum(1, n + d)[piece]
+        self.known = np.concatenate([np.ones(len(words)), [float(ends > 0), 0.0]])
+        self.base = np.concatenate([np.log10(np.append(seen, ends) + 1.0) - math.log10(total + distinct + 1), [0.0]])
+
+    def __call__(self, texts: pa.Array, ids: pa.Array) -> list:
+        frequent, words = self.frequent, self.words
+        if len(words.index) > frequent + _MOST_WORDS // 2:
+            words.forget()
+        numbers, of_text = words.numbers(texts)
+        flat, sizes, begins_word = _ids(ids, self.end)
+        inputs, targets, _ = windows(flat, sizes, self.end)
         logs, starting = self.model.each_log10(inputs, targets, self.starts)
         del inputs, targets
         # One row a token: the words of each text, then its end.
         n = of_text + 1
-        token_of = np.insert(numbers, np.cumsum(of_text), -1)
-        is_end, is_rare = token_of < 0, token_of >= frequent
-        sizes = np.where(is_end, 1, known.count.take(token_of, mode="clip") if len(known.count) else 1)
-        begin = np.cumsum(sizes) - sizes
-        head = (logs[begin] - starting[begin]).astype(float)
+        is_word = np.ones(len(numbers) + len(n), bool)
+        is_word[np.cumsum(n) - 1] = False
+        row = np.full(len(is_word), frequent)
+        row[is_word] = np.minimum(numbers, frequent + 1) + (numbers == frequent)
+        begin = np.flatnonzero(np.insert(begins_word, np.cumsum(sizes), True))
+        piece = np.full(len(is_word), self.end)
+        piece[is_word] = flat[begins_word]
+        head = logs[begin].astype(float) - starting[begin]
         tail = np.add.reduceat(logs, begin, dtype=float) - logs[begin] + np.append(starting[begin[1:]], 0.0)
-        seen = np.zeros(len(token_of), np.int64)
-        seen[is_end] = self.ends
-        common = np.flatnonzero(~is_end & ~is_rare)
-        seen[common] = self.counts[token_of[common]]
-        word = np.flatnonzero(~is_end)
-        spelled, listed = head.copy(), np.full(len(head), -np.inf)
-        piece = known.flat[known.first[token_of[word]]]
-        spelled[word] += tail[word] + self.spelled_share[piece]
-        listed[word] = head[word] + self.one[piece]
-        score = spelled.copy()
-        score[common] = np.logaddexp(spelled[common] * math.log(10), listed[common] * math.log(10) + np.log(np.maximum(seen[common], 1e-300))) / math.log(10)
-        base = np.log10(seen + 1.0) - self.low
+        spelled = np.where(is_word, tail + self.spelled_share[piece], 0.0)
+        score = head + spelled
+        common = np.flatnonzero(row < frequent)
+        score[common] = head[common] + np.log10(np.power(10.0, spelled[common]) + self.listed[row[common]])
         owner = np.repeat(np.arange(len(n)), n)
-        add = lambda x: np.bincount(owner, np.where(is_rare, 0.0, x), minlength=len(n))
-        open_at = np.flatnonzero(is_rare)
-        rare = list(islice(known.index, frequent, None))
-        names = pa.array(rare, pa.binary()).cast(pa.string()).take(pa.array(token_of[open_at] - frequent)) if rare else pa.array([], pa.string())
-        values = pa.StructArray.from_arrays([names, pa.array(spelled[open_at].astype(np.float32)), pa.array(listed[open_at].astype(np.float32))], names=["word", "spelled", "listed"])
+        open_at = np.flatnonzero(row > frequent)
+        score_here = np.bincount(owner, np.where(row > frequent, 0.0, score), minlength=len(n))
+        rare = list(islice(words.index, frequent, None))
+        names = pa.array(rare, pa.binary()).cast(pa.string()).take(pa.array(numbers[numbers >= frequent] - frequent)) if rare else pa.array([], pa.string())
+        values = pa.StructArray.from_arrays([names, pa.array(score[open_at].astype(np.float32)), pa.array((head[open_at] + self.one[piece[open_at]]).astype(np.float32))], names=["word", "spelled", "listed"])
         offsets = np.concatenate([[0], np.cumsum(np.bincount(owner[open_at], minlength=len(n)))]).astype(np.int32)
-        return [n, add((seen > 0).astype(float)).astype(np.int64), add(base), add(score), pa.ListArray.from_arrays(pa.array(offsets), values)]
+        return [n, np.bincount(owner, self.known[row], minlength=len(n)).astype(np.int64), np.bincount(owner, self.base[row], minlength=len(n)), score_here, pa.ListArray.from_arrays(pa.array(offsets), values)]
 
 
 def scored(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
     contents, end, begins = _vocabulary(model)
     proto = spark.sparkContext.broadcast(contents)
+    docs = stored(encoded(docs, proto, end), "encoded")
     attention = trained(docs, proto, end)
-    rows = stored(learnt(docs, attention, proto, end), "learnt")
-    attention = settled(rows, attention)
-    counts = stored(rows.where("n is not null").groupBy("word").agg(F.sum("n").alias("n"), F.max("piece").alias("piece")), "word-counts")
-    discard(rows)
+    attention = settled(learnt(docs, attention, proto, end), attention)
+    counts = stored(docs.where("n is not null").groupBy("word").agg(F.sum("n").alias("n"), F.max("piece").alias("piece")), "word-counts")
     is_word = F.col("word").isNotNull()
     total, distinct, ends = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(~is_word, F.col("n"))), F.lit(0))).first()
     by_piece = np.zeros((2, end + 1), np.int64)
     for r in counts.where(is_word).groupBy("piece").agg(F.sum("n").alias("n"), F.count("*").alias("d")).toLocalIterator():  # one row a piece at most
         by_piece[:, r["piece"]] = r["n"], r["d"]
-    top = most_frequent(counts.where(is_word).select("word", "n"), frequent)
+    top = most_frequent(counts.where(is_word), frequent)
     words = [w.encode() for w in top.column("word").to_pylist()]
-    own = (words, *Pieces(contents).cut(words))
-    payload = spark.sparkContext.broadcast((begins, attention, own, top.column("n").to_numpy(), ends, total, distinct, by_piece))
+    payload = spark.sparkContext.broadcast((end, begins, attention, words, top.column("n").to_numpy(), top.column("piece").to_numpy(), ends, total, distinct, by_piece))
+    given = docs.where("ids is not null").select("doc_id", "text", "ids")
+    schema = T.StructType([given.schema["doc_id"], *_FIELDS])
+    arrow = to_arrow_schema(schema)
 
-    def make():
-        return Scorer(proto.value, *payload.value)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = Scorer(*payload.value)
+        for batch in batches:
+            for part in pieces(batch, "text", _PIECE_BYTES):
+                values = score(part.column("text"), part.column("ids"))
+                columns = [v.cast(f.type) if isinstance(v, pa.Array) else pa.array(v, f.type) for v, f in zip(values, list(arrow)[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=arrow.names)
 
-    made = append_columns(docs, "text", _FIELDS, make, piece_bytes=_PIECE_BYTES).drop("text")
-    made = stored(made.withColumn("row", F.monotonically_increasing_id()), "scored")
+    made = stored(given.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
+    discard(docs)
 
     low = math.log10(total + distinct + 1)
     word = made.select("row", F.explode("rare").alias("w")).select("row", "w.*")
