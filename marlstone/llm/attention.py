@@ -84,9 +84,9 @@ def _hide(a: np.ndarray, inputs: np.ndarray) -> None:
         a[ragged] += np.where(inputs[ragged] >= 0, np.float32(0), np.float32(-1e9))[:, None, :]
 
 
-def _exp(x: np.ndarray) -> None:
-    """In place, of at most 60."""
-    if x.max(initial=0) > 60:
+def _exp(x: np.ndarray, low: bool = False) -> None:
+    """In place, of at most 60; ``low`` says that none is greater."""
+    if not low and x.max(initial=0) > 60:
         np.minimum(x, 60, out=x)
     np.exp(x, out=x)
 
@@ -174,20 +174,24 @@ class AttentionModel:
             return
         rng = np.random.default_rng(self.seed)
         order = np.concatenate([rng.permutation(len(inputs)) for _ in range(-(-steps * batch // len(inputs)))])
+        sums = counts.sum(axis=0, dtype=float)
         scale = 1.0  # what is remembered of the counts at all; they are multiplied by it at the end
         for step in range(steps):
             pick = order[step * batch : (step + 1) * batch]
             ids, resp = self._step(inputs[pick], targets[pick], rate + (last_rate - rate) * step / steps)
             scale *= 1 - 1 / (memory + 0.25 * step)
             resp *= np.float32(1 / scale)
+            sums += resp.sum(axis=0)
             resp += counts.take(ids, axis=0)
             counts[ids] = resp
-            if step % 4 == 3 or step == steps - 1:
-                self._emit(counts, scale)
+            if step % 4 == 3:  # the rows that the next four steps read
+                soon = targets[order[(step + 1) * batch : (step + 5) * batch]]
+                self._emit_rows(np.flatnonzero(np.bincount(soon.reshape(-1) + 1, minlength=1)[1:]), counts, sums, scale)
             if scale < 1e-6:
                 counts *= np.float32(scale)
-                scale = 1.0
+                sums, scale = sums * scale, 1.0
         counts *= np.float32(scale)
+        self._emit(counts)
 
     def gather(self, inputs: np.ndarray, targets: np.ndarray, total: np.ndarray) -> None:
         """Add the responsibilities of the output distributions for every target to ``total``."""
@@ -203,12 +207,15 @@ class AttentionModel:
         """Output distributions from the counts of all training tokens."""
         self._emit(total)
 
-    def _emit(self, counts: np.ndarray, scale: float = 1.0, prior: float = 200.0) -> None:
-        seen = (counts @ np.ones(self.mixes, counts.dtype)).astype(float) * scale + 0.5
-        base = (prior / seen.sum() * seen).astype(np.float32)
-        share = 1 / ((np.ones(len(counts), counts.dtype) @ counts).astype(float) * scale + prior)
-        self.emitted = np.multiply.outer(base, share.astype(np.float32))
-        self.emitted += counts * (share * scale).astype(counts.dtype)
+    def _emit(self, counts: np.ndarray) -> None:
+        self.emitted = np.empty(counts.shape, np.float32)
+        self._emit_rows(slice(None), counts, counts.sum(axis=0, dtype=float), 1.0)
+
+    def _emit_rows(self, rows: slice | np.ndarray, counts: np.ndarray, sums: np.ndarray, scale: float, prior: float = 200.0) -> None:
+        """Some rows of the output distributions from ``scale`` times the counts, whose sums by distribution are ``sums``."""
+        own = counts[rows] * scale
+        base = (own.sum(axis=1, dtype=float) + 0.5) / (sums.sum() * scale + 0.5 * len(counts))
+        self.emitted[rows] = (own + prior * base[:, None]) / (sums * scale + prior)
 
     def _step(self, inputs: np.ndarray, targets: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
         d, n, flat = self.width, len(inputs), targets.reshape(-1)
@@ -250,13 +257,14 @@ class AttentionModel:
         # Attention is a / total: the division is made once on what it is multiplied by.
         dh *= np.repeat(1 / f["total"].reshape(-1), d).reshape(-1, d)
         do = dh.reshape(n, STRIDE, d)
-        past[..., d:] = np.matmul(a.transpose(0, 2, 1), do)
+        np.matmul(a.transpose(0, 2, 1), do, out=past[..., d:])
         ds = np.matmul(do, f["v"].transpose(0, 2, 1))
         dh *= f["o"].reshape(-1, d)
         ds -= (dh @ np.ones(d, np.float32)).reshape(n, STRIDE, 1)
         ds *= a
-        np.multiply(np.matmul(ds, f["k"]).reshape(-1, d), np.float32(1 / np.sqrt(d)), out=now[:, :d])
-        past[..., :d] = np.matmul(ds.transpose(0, 2, 1), f["q"])
+        np.matmul(ds, f["k"], out=now.reshape(n, STRIDE, -1)[..., :d])
+        now[:, :d] *= np.float32(1 / np.sqrt(d))
+        np.matmul(ds.transpose(0, 2, 1), f["q"], out=past[..., :d])
         by_place = np.ones(n, np.float32) @ ds.reshape(n, -1)
         return dtop, np.bincount(_BACK_AT, by_place * _CAUSAL.ravel(), LENGTH).astype(np.float32)
 
@@ -300,6 +308,9 @@ class Reader:
         self.key[:-1], self.value[:-1, :d], self.value[:-1, d] = past[:, :d], past[:, d:], 1
         self.bias = np.where(_CAUSAL, model.tables["distance"][np.abs(_BACK)], -1e9).astype(f)
         self.ones = np.ones(k, f)
+        # No exponent can pass 60 where these bounds don't.
+        size = lambda t: float(np.sqrt((t * t).sum(axis=1).max()))
+        self.low = size(self.query) * size(self.key) + float(self.bias.max()) < 59, float(self.state[:, d:].max() + np.abs(self.top).sum(axis=0).max()) < 59
         sizes = {"q": (_BATCH * STRIDE, d), "s": (_BATCH * STRIDE, d + k), "k": (_BATCH, LENGTH, d), "v": (_BATCH, LENGTH, d + 1), "a": (_BATCH, STRIDE, LENGTH), "o": (_BATCH, STRIDE, d + 1), "h": (_BATCH * STRIDE, d), "e": (_BATCH * STRIDE, k), "t": (_BATCH * STRIDE, k)}
         self.buffers = {name: np.empty(shape, f) for name, shape in sizes.items()}
 
@@ -313,14 +324,14 @@ class Reader:
         v = self.value.take(inputs, axis=0, mode="wrap", out=b["v"][:n])
         a = np.matmul(q, k.transpose(0, 2, 1), out=b["a"][:n])
         a += self.bias
-        _exp(a)
+        _exp(a, self.low[0])
         o = np.matmul(a, v, out=b["o"][:n]).reshape(-1, d + 1)
         h = np.divide(o[:, :d], np.maximum(o[:, d:], np.float32(1e-30)), out=b["h"][: n * STRIDE])
         h += s[:, :d]
         np.tanh(h, out=h)
         e = np.matmul(h, self.top, out=b["e"][: n * STRIDE])
         e += s[:, d:]
-        _exp(e)
+        _exp(e, self.low[1])
         return e
 
     def each_log10(self, inputs: np.ndarray, targets: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
